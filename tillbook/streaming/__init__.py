@@ -1,0 +1,6 @@
+"""Nothing to stream.
+
+The ledgers this library covers are batch loads; there is no watermark, state or
+late-data rule to express. The row-wise transforms in ``tillbook.plans`` hold no
+actions, so they also accept a streaming DataFrame as they are.
+"""
