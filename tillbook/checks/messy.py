@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook import fixed_values as V
+from tillbook.sources.feeds import spread
 
 SHOES = [
     "On Cloud", "cloud tec", "Nike AJ1", "adidas samba", "NB", "New Balance", "Converse High",
@@ -32,7 +33,7 @@ MONTH_NOTES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _nth(values: list, index: Column) -> Column:

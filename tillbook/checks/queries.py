@@ -224,14 +224,20 @@ def safe_quantity(spark, sf):
 
 @_query
 def impute_expense_date(spark, sf):
-    parsed = dates.parse_expense_date(F.col("expense_date"))
-    final = dates.impute_salary_date(parsed, F.col("brand"), F.col("notes"))
-    return expense_cells(spark, sf).select(
+    rows = expense_cells(spark, sf).select(
         F.col("expense_date").alias("date_text"),
         "brand",
         "notes",
-        final.alias("expense_date"),
-        dates.is_imputed(parsed, final).alias("is_date_imputed"),
+        dates.parse_expense_date(F.col("expense_date")).alias("parsed"),
+        dates.salary_date(F.col("brand"), F.col("notes")).alias("payday"),
+    )
+    parsed, payday = F.col("parsed"), F.col("payday")
+    return rows.select(
+        "date_text",
+        "brand",
+        "notes",
+        dates.imputed_date(parsed, payday).alias("expense_date"),
+        dates.is_imputed(parsed, payday).alias("is_date_imputed"),
     )
 
 

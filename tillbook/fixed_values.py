@@ -65,8 +65,8 @@ NA_TOKENS = [
 # ---------------------------------------------------------------------------
 # Date formats, month names, salary convention.
 # ---------------------------------------------------------------------------
-ORDER_DATE_FORMATS = ["d/M/yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"]
-EXPENSE_DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "d/M/yyyy"]
+ORDER_DATE_FORMATS = ["d/M/yyyy", "yyyy-MM-dd[ HH:mm:ss]"]
+EXPENSE_DATE_FORMATS = ["yyyy-MM-dd[ HH:mm:ss]", "M/d/yyyy", "d/M/yyyy"]
 
 INDONESIAN_MONTHS = {
     "januari": 1, "februari": 2, "maret": 3, "april": 4, "mei": 5, "juni": 6,

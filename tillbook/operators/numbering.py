@@ -33,9 +33,10 @@ _AT, _RANGE, _FIRST, _ROWS, _SHIFT, _TIE = (
 
 def _by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Number rows 1.. within ``keys`` (the whole frame if empty) from a range sort."""
-    # Equal sort keys cannot be cut apart, so a running id stands behind them. It
-    # follows the scan order, hence is the same when a task is retried.
-    tied = df.withColumn(_TIE, F.monotonically_increasing_id())
+    # A range sort reads its input twice, first to find the ranges: write it once.
+    # Equal sort keys cannot be cut apart, so a running id stands behind them; over
+    # written files it is the same whenever a task is repeated.
+    tied = write_scratch(df).withColumn(_TIE, F.monotonically_increasing_id())
     ordered = tied.orderBy(*[F.col(k).asc_nulls_first() for k in keys], *order, _TIE)
     # After the sort, the id is (range number, position in range). It is written
     # out because both uses below must see one and the same set of ranges.

@@ -41,36 +41,38 @@ def union_expenses(spark: SparkSession, paths: FeedPaths) -> DataFrame:
     )
 
 
+ORDERS_ORDER = ["order_date", "order_no"]
+EXPENSES_ORDER = ["expense_date", "item_name"]
+
+
 def raw_orders(orders: DataFrame) -> DataFrame:
-    return tables.typed_in_order(orders, V.RAW_ORDERS_SCHEMA, ["order_date", "order_no"])
+    """The orders table's rows in table order."""
+    return tables.in_order(tables.stage_typed(orders, V.RAW_ORDERS_SCHEMA), ORDERS_ORDER)
 
 
 def raw_expenses(expenses: DataFrame) -> DataFrame:
-    return tables.typed_in_order(expenses, V.RAW_EXPENSES_SCHEMA, ["expense_date", "item_name"])
+    return tables.in_order(tables.stage_typed(expenses, V.RAW_EXPENSES_SCHEMA), EXPENSES_ORDER)
 
 
 def load(spark: SparkSession, paths: FeedPaths, warehouse: str) -> dict[str, DataFrame]:
     """Read, normalise, validate, publish; returns the per-source summaries.
 
-    Feeds are parsed once, into new files under ``warehouse``. The checks then read
-    a few columns of those files, and only if all pass are the table names pointed
-    at them. A failed check raises and leaves the tables as they were; earlier
-    files stay until retention clears them.
+    Feeds are parsed once. The checks read a few columns of the staged result; only
+    if all pass is it sorted into new files under ``warehouse`` and the table names
+    pointed at them. A failed check raises and leaves the tables as they were.
+    Files of earlier loads stay until retention clears them.
     """
     run = uuid.uuid4().hex
-    staged = {}
-    for name, frame in (
-        ("raw_orders", raw_orders(union_orders(spark, paths))),
-        ("raw_expenses", raw_expenses(union_expenses(spark, paths))),
-    ):
-        path = f"{warehouse.rstrip('/')}/{name}/{run}"
-        tables.save_parquet(frame, path)
-        staged[name] = path
-    orders = spark.read.parquet(staged["raw_orders"])
-    expenses = spark.read.parquet(staged["raw_expenses"])
+    orders = tables.stage_typed(union_orders(spark, paths), V.RAW_ORDERS_SCHEMA)
+    expenses = tables.stage_typed(union_expenses(spark, paths), V.RAW_EXPENSES_SCHEMA)
     quality.validate_orders(orders)
     quality.validate_expenses(expenses)
-    for name, path in staged.items():
+    for name, frame, order in (
+        ("raw_orders", orders, ORDERS_ORDER),
+        ("raw_expenses", expenses, EXPENSES_ORDER),
+    ):
+        path = f"{warehouse.rstrip('/')}/{name}/{run}"
+        tables.save_parquet(tables.in_order(frame, order), path)
         tables.publish(spark, name, path)
     return {
         "orders": profile.source_summary(tables.source(spark, "raw_orders"), "order_date"),

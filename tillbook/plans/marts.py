@@ -115,20 +115,18 @@ def fct_salary(staged: DataFrame, share: Decimal | str, payday: int = V.SALARY_D
 def fct_profit(staged: DataFrame, expenses: DataFrame, share: Decimal | str) -> DataFrame:
     """Per month: revenue, supplies, salaries and what is left.
 
-    The three monthly figures are stacked and summed. That keeps months only one
-    side has, as a full outer join would, and needs no join.
+    The monthly figures are stacked and summed. That keeps months only one side
+    has, as a full outer join would, and needs no join. Revenue and salaries come
+    from the same aggregate, so orders are read once.
     """
     zero = F.lit(0)
-    revenue = fct_monthly_revenue(staged).select(
-        "year", "month", "revenue", zero.alias("expenses"), zero.alias("salary")
+    earned = fct_salary(staged, share).select(
+        "year", "month", "revenue", zero.alias("expenses"), "salary"
     )
     supplies = fct_monthly_expenses(expenses).select(
         "year", "month", zero.alias("revenue"), "expenses", zero.alias("salary")
     )
-    salaries = fct_salary(staged, share).select(
-        "year", "month", zero.alias("revenue"), zero.alias("expenses"), "salary"
-    )
-    stacked = revenue.unionByName(supplies).unionByName(salaries)
+    stacked = earned.unionByName(supplies)
     money = lambda c: F.coalesce(F.sum(c), zero)
     monthly = stacked.groupBy("year", "month").agg(
         money("revenue").cast("bigint").alias("revenue"),

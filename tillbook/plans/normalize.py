@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from tillbook import fixed_values as V
 from tillbook.functions.dates import (
-    impute_salary_date,
+    imputed_date,
     is_imputed,
     parse_expense_date,
     parse_order_date,
+    salary_date,
 )
 from tillbook.functions.numbers import number_to_int, number_to_long, rupiah_to_int
 from tillbook.operators.columns import project, rename, with_lineage
@@ -81,20 +82,24 @@ def normalize_expenses(
     """
     out = rename(feed, V.EXPENSE_HEADERS)
     out = with_lineage(out, data_source, is_synthetic)
-    out = out.withColumn("__parsed", parse_expense_date(F.col("expense_date"), date_formats))
-    parsed = F.col("__parsed")
-    imputed = impute_salary_date(parsed, F.col("brand"), F.col("notes"), default_year, salary_day)
+    out = out.withColumns(
+        {
+            "__parsed": parse_expense_date(F.col("expense_date"), date_formats),
+            "__payday": salary_date(F.col("brand"), F.col("notes"), default_year, salary_day),
+        }
+    )
+    parsed, payday = F.col("__parsed"), F.col("__payday")
     typed = {
-        "expense_date": _either(is_synthetic, parsed, imputed),
+        "expense_date": _either(is_synthetic, parsed, imputed_date(parsed, payday)),
         "quantity": number_to_int(F.col("quantity")),
     }
     if is_synthetic is not True:
         typed["is_date_imputed"] = _either(
-            is_synthetic, F.lit(None).cast("boolean"), is_imputed(parsed, imputed)
+            is_synthetic, F.lit(None).cast("boolean"), is_imputed(parsed, payday)
         )
     for c in EXPENSE_AMOUNTS:
         typed[c] = _either(is_synthetic, number_to_int(F.col(c)), rupiah_to_int(F.col(c)))
-    return out.withColumns(typed).drop("__parsed")
+    return out.withColumns(typed).drop("__parsed", "__payday")
 
 
 def normalize_expenses_real(feed: DataFrame, data_source: str, **options) -> DataFrame:

@@ -13,6 +13,20 @@ ORDERS_FEED = T.StructType([T.StructField(h, T.StringType()) for h in ORDER_HEAD
 EXPENSES_FEED = T.StructType([T.StructField(h, T.StringType()) for h in EXPENSE_HEADERS])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share a scan's rows among idle cores.
+
+    A compressed or multi-line file, or one with a single row group, cannot be split
+    and would be cleaned by one task. Cleaning costs more than moving the rows, so
+    they are dealt out when the scan has fewer than half as many partitions as
+    there are cores. A scan that already fills the cluster is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores)
+
+
 def missing_as_null(df: DataFrame) -> DataFrame:
     """Null for every text cell that only spells out "missing"."""
     return df.select(
@@ -42,7 +56,7 @@ def read_csv(
     reader = reader.option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
     if schema is not None:
         reader = reader.schema(schema)
-    return missing_as_null(reader.csv(path))
+    return missing_as_null(spread(reader.csv(path)))
 
 
 def read_orders_csv(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
