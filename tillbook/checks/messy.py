@@ -37,7 +37,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _nth(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    literals = ", ".join("NULL" if v is None else repr(v) for v in values)
+    return F.element_at(F.expr(f"array({literals})"), (index + 1).cast("int"))
 
 
 def _text(n: Column) -> Column:

@@ -22,6 +22,9 @@ SETTINGS = {
     # wide projection, which whole-stage generation puts into a single method; past
     # that size Spark then generates smaller ones instead. Measured 2.5 times faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Python call-site capture for error messages costs about a millisecond per
+    # Column call, which is most of the time it takes to state a wide projection.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillbook.fixed_values import EXPENSE_HEADERS, ORDER_HEADERS
-from tillbook.functions.text import na_to_null
+from tillbook.functions.text import na_to_null_sql
 
 ORDERS_FEED = T.StructType([T.StructField(h, T.StringType()) for h in ORDER_HEADERS])
 EXPENSES_FEED = T.StructType([T.StructField(h, T.StringType()) for h in EXPENSE_HEADERS])
@@ -29,11 +28,9 @@ def spread(df: DataFrame) -> DataFrame:
 
 def missing_as_null(df: DataFrame) -> DataFrame:
     """Null for every text cell that only spells out "missing"."""
-    return df.select(
+    return df.selectExpr(
         *[
-            na_to_null(F.col(f"`{f.name}`")).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f"`{f.name}`")
+            na_to_null_sql(f.name) if isinstance(f.dataType, T.StringType) else f"`{f.name}`"
             for f in df.schema
         ]
     )
