@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillbook import fixed_values as V
+from tillbook import jobs
 from tillbook.operators import profile, quality
 from tillbook.operators.columns import union_feeds
 from tillbook.plans import ingest, marts, staging, synthetic
@@ -285,3 +286,30 @@ def test_golden_feeds(spark):
         }
         assert audit == {2025: (235, 195, 108, 90), 2026: (65, 30, 23, 18)}
     assert {r["year"]: r["missed_discounts"] for r in marts.discount_alert(fct).collect()} == {2025: 90, 2026: 18}
+
+
+def test_jobs_generate_then_load(spark, paths, tmp_path):
+    items = spark.createDataFrame(
+        [(1, "Spons", "Apen", 13772, 1, 2)],
+        "item_id int, item_name string, brand string, unit_price int, quantity int, every_months int",
+    )
+    items.write.parquet(str(tmp_path / "items"))
+    jobs.run(spark, ["generate", "--start", "2025-01-01", "--end", "2026-04-14", "--orders", "500",
+                     "--items", str(tmp_path / "items"), "--out", str(tmp_path / "gen")])
+    given = {**vars(paths), "synthetic_orders": str(tmp_path / "gen/synthetic_orders"),
+             "synthetic_supplies": str(tmp_path / "gen/synthetic_supplies")}
+    argv = ["load", "--warehouse", str(tmp_path / "wh")]
+    for name, value in given.items():
+        argv += ["--" + name.replace("_", "-"), value]
+    jobs.run(spark, argv)
+    by_source = {r["data_source"]: r["n"] for r in spark.table("stg_orders").groupBy("data_source").agg(F.count("*").alias("n")).collect()}
+    assert by_source == {"real_2023": 3, "real_2025": 1, "synthetic_orders": 500}
+    assert spark.table("stg_expenses").filter("is_synthetic").count() == 8
+    assert spark.table("raw_orders").filter("order_date IS NULL").isEmpty()
+
+
+def test_inspect(spark):
+    orders = orders_frame(spark, [(1, dt.date(2023, 1, 1), "A", 5, 0)])
+    found = profile.inspect(orders, [F.col("order_no")])
+    assert set(found) == {"shape", "null_counts", "head", "price_stats"}
+    assert {r["column_name"] for r in found["price_stats"].collect()} == {"price", "total_price"}

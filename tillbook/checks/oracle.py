@@ -569,11 +569,19 @@ def oracle_sql() -> dict[str, str]:
             _gate(2, "item_name_null_rate", "item_name IS NULL", "raw_expenses", True),
         ])
     )
-    q["dq_required_columns"] = ro(
+    filled = (
+        "SELECT '{0}' AS ledger, '{1}' AS column_name, TRUE AS is_present, count({1}) AS filled_rows "
+        "FROM raw_{0}"
+    )
+    q["dq_required_columns"] = with_(
+        RAW_ORDERS + "," + RAW_EXPENSES,
         _union([
-            f"SELECT '{c}' AS column_name, TRUE AS is_present, count({c}) AS filled_rows FROM raw_orders"
-            for c in ("order_no", "order_date", "service_type", "total_price", "worker")
-        ])
+            *[
+                filled.format("orders", c)
+                for c in ("order_no", "order_date", "service_type", "total_price", "worker")
+            ],
+            *[filled.format("expenses", c) for c in ("item_name", "quantity", "total_price")],
+        ]),
     )
     q["dq_not_null"] = st(
         _union([

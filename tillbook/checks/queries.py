@@ -435,7 +435,10 @@ def dq_expenses(spark, sf):
 
 @_query
 def dq_required_columns(spark, sf):
-    return quality.column_presence(orders_ledger(spark, sf), V.REQUIRED_ORDER_COLUMNS)
+    orders = quality.column_presence(orders_ledger(spark, sf), V.REQUIRED_ORDER_COLUMNS)
+    expenses = quality.column_presence(expenses_ledger(spark, sf), V.REQUIRED_EXPENSE_COLUMNS)
+    named = lambda df, name: df.select(F.lit(name).alias("ledger"), "*")
+    return named(orders, "orders").unionByName(named(expenses, "expenses"))
 
 
 @_query
@@ -550,7 +553,7 @@ def top_customers(spark, sf):
 
 @_query
 def repeat_rate(spark, sf):
-    return _rounded(marts.repeat_rate(marts.fct_orders(staged(spark, sf))), 9, "repeat_rate")
+    return _rounded(marts.repeat_rate(staged(spark, sf)), 9, "repeat_rate")
 
 
 @_query

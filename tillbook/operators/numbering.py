@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillbook.operators.ordering import sort_over_ranges
 from tillbook.sources.scratch import write_scratch
 
 # A group below this size is numbered by an ordinary window. It is a task-size
@@ -26,21 +27,17 @@ HOT_ROWS = 5_000_000
 SKETCH_ITEMS = 100_000
 SKETCH_TOP = 10_000
 
-_AT, _RANGE, _FIRST, _ROWS, _SHIFT, _TIE = (
-    "__at", "__range", "__first", "__rows", "__shift", "__tie",
-)
+_AT, _RANGE, _FIRST, _ROWS, _SHIFT = "__at", "__range", "__first", "__rows", "__shift"
 
 
 def _by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Number rows 1.. within ``keys`` (the whole frame if empty) from a range sort."""
     # A range sort reads its input twice, first to find the ranges: write it once.
-    # Equal sort keys cannot be cut apart, so a running id stands behind them; over
-    # written files it is the same whenever a task is repeated.
-    tied = write_scratch(df).withColumn(_TIE, F.monotonically_increasing_id())
-    ordered = tied.orderBy(*[F.col(k).asc_nulls_first() for k in keys], *order, _TIE)
-    # After the sort, the id is (range number, position in range). It is written
+    by_group = [F.col(k).asc_nulls_first() for k in keys]
+    ordered = sort_over_ranges(write_scratch(df), [*by_group, *order])
+    # After the sort, this id is (range number, position in range). It is written
     # out because both uses below must see one and the same set of ranges.
-    placed = write_scratch(ordered.drop(_TIE).withColumn(_AT, F.monotonically_increasing_id()))
+    placed = write_scratch(ordered.withColumn(_AT, F.monotonically_increasing_id()))
     placed = placed.withColumn(_RANGE, F.shiftright(_AT, 33))
 
     # One row per (range, group): at most ranges + groups rows, for few groups.

@@ -61,6 +61,14 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def inspect(df: DataFrame, order: Sequence[Column]) -> dict[str, DataFrame]:
+    """What to look at before a load: shape, nulls, first rows, price statistics."""
+    found = {"shape": shape(df), "null_counts": null_counts(df), "head": head(df, order)}
+    if price_columns(df):
+        found["price_stats"] = price_stats(df)
+    return found
+
+
 def date_range(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.min(column).alias("earliest"), F.max(column).alias("latest"))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbook import fixed_values as V
@@ -192,11 +192,15 @@ def top_customers(staged: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def repeat_rate(orders: DataFrame) -> DataFrame:
-    """Share of repeat orders per year."""
-    return orders.groupBy("year").agg(
-        F.count("*").alias("orders"),
-        F.avg(F.col("is_repeat_customer").cast("int")).alias("repeat_rate"),
+def repeat_rate(staged: DataFrame) -> DataFrame:
+    """Share of repeat orders per year.
+
+    All of a customer's orders in a year but the first are repeats, so counting per
+    customer and year is enough; no row needs its place.
+    """
+    per_customer = staged.groupBy("year", "customer_name_clean").agg(F.count("*").alias("n"))
+    return per_customer.groupBy("year").agg(
+        _sum("n").alias("orders"), (F.sum(F.col("n") - 1) / F.sum("n")).alias("repeat_rate")
     )
 
 
@@ -224,15 +228,19 @@ def pricing_anomalies(staged: DataFrame) -> DataFrame:
 
 def month_gaps(staged: DataFrame) -> DataFrame:
     """Months between the first and the last order that have no order."""
-    months = staged.filter(F.col("order_date").isNotNull()).select(
-        F.trunc("order_date", "month").alias("month_start")
-    ).distinct()
-    # From here on there is at most one row per calendar month.
-    span = months.agg(F.min("month_start").alias("first"), F.max("month_start").alias("last"))
-    spine = span.filter(F.col("first").isNotNull()).select(
+    months = staged.groupBy(F.trunc("order_date", "month").alias("month")).agg(
+        F.count("*").alias("orders")
+    )
+    # One row per calendar month is left: few enough for a window without keys, and
+    # the months missing between two neighbours need no second scan or join.
+    following = F.lead("month").over(Window.orderBy("month"))
+    holes = months.filter(F.col("month").isNotNull()).select(
+        F.add_months("month", 1).alias("first"), F.add_months(following, -1).alias("last")
+    )
+    gaps = holes.filter(F.col("first") <= F.col("last")).select(
         F.explode(F.expr("sequence(first, last, interval 1 month)")).alias("month_start")
     )
-    return spine.join(months, "month_start", "left_anti").select(
+    return gaps.select(
         "month_start",
         F.year("month_start").alias("year"),
         F.month("month_start").alias("month"),

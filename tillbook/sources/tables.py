@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.operators.columns import enforce_schema
+from tillbook.operators.ordering import sort_over_ranges
 from tillbook.sources.scratch import write_scratch
 
 
@@ -23,14 +24,10 @@ def stage_typed(df: DataFrame, schema: str) -> DataFrame:
 def in_order(staged: DataFrame, order: Sequence[str]) -> DataFrame:
     """Sorted nulls-last.
 
-    The sort is a range partitioning, so each written file covers its own span of
-    the leading key and readers can skip files. A running id follows the named
-    keys: equal keys, and even exact copies of a row, can then be cut over several
-    ranges instead of filling one. Over staged files that id is the same whenever a
-    task is repeated.
+    Each written file then covers its own span of the leading key, so readers can
+    skip files.
     """
-    tied = staged.withColumn("__tie", F.monotonically_increasing_id())
-    return tied.orderBy(*[F.col(c).asc_nulls_last() for c in order], "__tie").drop("__tie")
+    return sort_over_ranges(staged, [F.col(c).asc_nulls_last() for c in order])
 
 
 def register(df: DataFrame, name: str) -> None:
