@@ -22,10 +22,13 @@ from tillbook.sources.scratch import write_scratch
 # setting, not a limit on groups: larger ones take the range-sort way.
 HOT_ROWS = 5_000_000
 
-# Bounds of the heavy-group sketch: what it tracks per task, and how many group
-# hashes it may hand to the driver.
-SKETCH_ITEMS = 100_000
-SKETCH_TOP = 10_000
+# Heavy groups are looked for in lanes of the group hash, so that sketches are merged
+# by many tasks. Each lane tracks SKETCH_ITEMS groups and reports SKETCH_TOP, which
+# bounds both what a task holds and what reaches the driver. More than 128 lanes
+# would make the object aggregate sort its input.
+SKETCH_LANES = 64
+SKETCH_ITEMS = 512
+SKETCH_TOP = 128
 
 _AT, _RANGE, _FIRST, _ROWS, _SHIFT = "__at", "__range", "__first", "__rows", "__shift"
 
@@ -54,7 +57,7 @@ def _by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name:
         enumerate(keys),
         F.col(_RANGE) == F.col("__r"),
     )
-    # Broadcast bound: SKETCH_TOP groups plus the number of sort ranges.
+    # Broadcast bound: SKETCH_LANES * SKETCH_TOP groups plus the number of sort ranges.
     numbered = placed.join(F.broadcast(shifts), same)
     place = (F.col(_AT) - F.col(_FIRST) + F.col(_SHIFT) + 1).cast("bigint")
     return numbered.select(*df.columns, place.alias(name))
@@ -72,7 +75,9 @@ def heavy_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]
     group takes, never its numbers.
     """
     hashed = df.select(F.xxhash64(*keys).alias("h"))
-    top = hashed.select(F.expr(f"approx_top_k(h, {SKETCH_TOP}, {SKETCH_ITEMS})").alias("top"))
+    top = hashed.groupBy(F.pmod("h", F.lit(SKETCH_LANES)).alias("lane")).agg(
+        F.expr(f"approx_top_k(h, {SKETCH_TOP}, {SKETCH_ITEMS})").alias("top")
+    )
     heavy = top.select(F.inline("top")).filter(F.col("count") > hot_rows)
     return [row["item"] for row in heavy.collect()]
 
