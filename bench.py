@@ -45,6 +45,14 @@ HEADLINE = [
 RUNS = 3
 
 
+def _scale(sf_dir: str) -> float | str:
+    name = Path(sf_dir).name.removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -67,7 +75,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": Path(sf_dir).name.removeprefix("sf"),
+                "sf": _scale(sf_dir),
             }
         )
     )

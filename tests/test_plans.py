@@ -13,7 +13,7 @@ from tillbook.operators import profile, quality
 from tillbook.operators.columns import union_feeds
 from tillbook.plans import ingest, marts, staging, synthetic
 from tillbook.plans import normalize as N
-from tillbook.sources import feeds, tables
+from tillbook.sources import feeds, scratch, tables
 
 ORDER_HEADER = list(V.ORDER_HEADERS)
 EXPENSE_HEADER = list(V.EXPENSE_HEADERS)
@@ -306,6 +306,8 @@ def test_jobs_generate_then_load(spark, paths, tmp_path):
     assert by_source == {"real_2023": 3, "real_2025": 1, "synthetic_orders": 500}
     assert spark.table("stg_expenses").filter("is_synthetic").count() == 8
     assert spark.table("raw_orders").filter("order_date IS NULL").isEmpty()
+    own = f"{scratch.scratch_root(spark)}/tillbook-{spark.sparkContext.applicationId}"
+    assert not os.path.exists(own)
 
 
 def test_inspect(spark):

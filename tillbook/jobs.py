@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from tillbook.plans import ingest, synthetic  # noqa: E402
 from tillbook.sources import tables  # noqa: E402
+from tillbook.sources.scratch import clear_scratch  # noqa: E402
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -45,11 +46,13 @@ def run(spark: SparkSession, argv: list[str]) -> None:
             items = spark.read.parquet(args.items)
             supplies = synthetic.generate_supplies(items, args.start, args.end)
             tables.save_csv(supplies, f"{args.out}/synthetic_supplies")
+        clear_scratch(spark)
         return
     paths = ingest.FeedPaths(**{f.name: getattr(args, f.name) for f in fields(ingest.FeedPaths)})
     for summary in ingest.load(spark, paths, args.warehouse).values():
         summary.show(truncate=False)
     ingest.stage(spark)
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

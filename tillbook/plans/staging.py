@@ -42,6 +42,10 @@ def stg_orders(raw_orders: DataFrame) -> DataFrame:
 
 
 def stg_expenses(raw_expenses: DataFrame) -> DataFrame:
+    """Expenses with the computed total and whether the stated one differs.
+
+    A product beyond a 32-bit integer is an error, not a silent null.
+    """
     calculated = F.col("unit_price") * F.col("quantity")
     return raw_expenses.select(
         "expense_date",

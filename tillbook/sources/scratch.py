@@ -23,14 +23,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-def write_scratch(df: DataFrame) -> DataFrame:
-    """Write once as parquet and read back, cutting the lineage.
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark).rstrip('/')}/tillbook-{spark.sparkContext.applicationId}"
 
-    Folders are grouped per application, so a retention rule on the shared folder
-    can clear them.
-    """
+
+def write_scratch(df: DataFrame) -> DataFrame:
+    """Write once as parquet and read back, cutting the lineage."""
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{scratch_root(spark).rstrip('/')}/tillbook-{app}/{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote, once its results are stored elsewhere.
+
+    Frames built on scratch files cannot be read afterwards.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
