@@ -5,6 +5,8 @@ import datetime as dt
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tillbook import fixed_values as V
@@ -306,6 +308,12 @@ def test_jobs_generate_then_load(spark, paths, tmp_path):
     assert by_source == {"real_2023": 3, "real_2025": 1, "synthetic_orders": 500}
     assert spark.table("stg_expenses").filter("is_synthetic").count() == 8
     assert spark.table("raw_orders").filter("order_date IS NULL").isEmpty()
+    jobs.run(spark, ["marts", "--share", "0.40"])
+    assert spark.table("fct_orders").count() == 504
+    paid = spark.table("fct_salary").agg(F.sum("salary"), F.sum("kas"), F.sum("revenue")).first()
+    assert paid[0] + paid[1] == paid[2]
+    assert spark.table("dim_customers").agg(F.sum("total_orders")).first()[0] == 504
+    assert spark.table("fct_profit").agg(F.sum("revenue")).first()[0] == paid[2]
     own = f"{scratch.scratch_root(spark)}/tillbook-{spark.sparkContext.applicationId}"
     assert not os.path.exists(own)
 
@@ -315,3 +323,38 @@ def test_inspect(spark):
     found = profile.inspect(orders, [F.col("order_no")])
     assert set(found) == {"shape", "null_counts", "head", "price_stats"}
     assert {r["column_name"] for r in found["price_stats"].collect()} == {"price", "total_price"}
+
+
+def test_amounts_stored_as_numbers(spark):
+    real = spark.createDataFrame(
+        [("1", "05/06/2023", "A", "NB", "Tas", 50000.9, -20000.5, float("nan"), None, "Paid", "V")],
+        ", ".join(f"`{h}` {'double' if h in ('Harga', 'Discount', 'Total harga') else 'string'}" for h in ORDER_HEADER),
+    )
+    row = N.normalize_orders_real(real, "x").first()
+    assert (row["price"], row["discount"], row["total_price"]) == (50000, -20000, None)
+    row = N.normalize_orders_synth(real).first()
+    assert (row["price"], row["discount"], row["total_price"]) == (50001, -20000, None)
+
+
+words = st.one_of(st.none(), st.sampled_from(["", "Tas", "deep x", "FAST", "nike", "NB", "BCA", "cash", "Kak A", "?"]), st.text(max_size=6))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(words, words, words, words, st.one_of(st.none(), st.integers(-20000, 60000))), min_size=1, max_size=30))
+def test_staging_keeps_rows_and_stays_in_vocabulary(spark, rows):
+    raw = spark.createDataFrame(
+        [(i, dt.date(2023, 1, 1), n, sh, sv, 1, d, 1, no, None, None, "real_2023", False) for i, (n, sh, sv, no, d) in enumerate(rows)],
+        V.RAW_ORDERS_SCHEMA,
+    )
+    staged = staging.stg_orders(raw).collect()
+    assert sorted(r["order_no"] for r in staged) == list(range(len(rows)))
+    for r in staged:
+        name, shoe, service, notes, discount = rows[r["order_no"]]
+        assert r["payment_method"] in ("Transfer", "Cash", "Unknown")
+        assert r["item_type"] in ("sepatu", service) and r["item_type"] is not None
+        assert (r["clean_type"] is None) == (service is None)
+        assert r["shoe_brand_clean"] in ("On Running", "Nike", "Adidas", "New Balance", "Converse", "Unknown", shoe)
+        assert r["shoe_brand_clean"] is not None
+        assert r["discount_type"] in V.DISCOUNT_TYPES
+        assert r["notes"] is None or r["notes"].strip(" ") == r["notes"] != ""
+        assert r["customer_name_clean"] == name or name in V.CUSTOMER_ALIASES

@@ -19,6 +19,11 @@ def rupiah_to_int(c: Column) -> Column:
     return whole.try_cast("int")
 
 
+def cut_to_int(c: Column) -> Column:
+    """An amount that already is a number, decimals cut; null if it does not fit."""
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double")).try_cast("int")
+
+
 def to_number(c: Column) -> Column:
     """Text to double, null when it is not a number.
 
@@ -34,7 +39,8 @@ def number_to_int(c: Column) -> Column:
     Halves go to the even neighbour. Plain integers, the usual case, are read
     directly.
     """
-    return F.coalesce(c.try_cast("int"), F.bround(to_number(c)).try_cast("int"))
+    text = c.cast("string")
+    return F.coalesce(text.try_cast("int"), F.bround(to_number(text)).try_cast("int"))
 
 
 def number_to_long(c: Column) -> Column:

@@ -1,7 +1,8 @@
-"""Commands for spark-submit: generate, load, stage.
+"""Commands for spark-submit: generate feeds, load them, build marts.
 
     spark-submit tillbook/jobs.py generate --start 2025-01-01 --end 2026-04-14 --orders 300 --out DIR
     spark-submit tillbook/jobs.py load --warehouse DIR --orders-2023 A.csv --orders-2025 B.csv ...
+    spark-submit tillbook/jobs.py marts --share 0.40
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ def _parser() -> argparse.ArgumentParser:
     generate.add_argument("--orders", type=int, required=True)
     generate.add_argument("--items", help="parquet of recurring supplies")
     generate.add_argument("--out", required=True)
+    marts = commands.add_parser("marts", help="save facts and dimensions as tables")
+    marts.add_argument("--share", required=True, help="the workers' share of revenue, 0 to 1")
     load = commands.add_parser("load", help="validate the feeds and publish the tables and views")
     load.add_argument("--warehouse", required=True)
     for feed in fields(ingest.FeedPaths):
@@ -48,6 +51,10 @@ def run(spark: SparkSession, argv: list[str]) -> None:
             tables.save_csv(supplies, f"{args.out}/synthetic_supplies")
         clear_scratch(spark)
         return
+    if args.command == "marts":
+        ingest.build_marts(spark, args.share)
+        clear_scratch(spark)
+        return
     paths = ingest.FeedPaths(**{f.name: getattr(args, f.name) for f in fields(ingest.FeedPaths)})
     for summary in ingest.load(spark, paths, args.warehouse).values():
         summary.show(truncate=False)

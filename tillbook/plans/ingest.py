@@ -11,7 +11,7 @@ from tillbook import fixed_values as V
 from tillbook.operators import profile, quality
 from tillbook.operators.columns import union_feeds
 from tillbook.plans import normalize as N
-from tillbook.plans import staging
+from tillbook.plans import marts, staging
 from tillbook.sources import feeds, tables
 
 
@@ -80,6 +80,32 @@ def load(spark: SparkSession, paths: FeedPaths, warehouse: str) -> dict[str, Dat
     }
 
 
+def build_marts(spark: SparkSession, share: str) -> list[str]:
+    """Save the facts and dimensions as tables; returns their names.
+
+    Orders are numbered once: what depends on a customer's order sequence reads the
+    saved ``fct_orders``.
+    """
+    orders = staging.staged_orders(tables.source(spark, "raw_orders"))
+    expenses = staging.stg_expenses(tables.source(spark, "raw_expenses"))
+    tables.save_table(marts.fct_orders(orders), "fct_orders")
+    fct_orders = tables.source(spark, "fct_orders")
+    built = {
+        "fct_monthly_revenue": marts.fct_monthly_revenue(fct_orders),
+        "fct_monthly_expenses": marts.fct_monthly_expenses(expenses),
+        "fct_salary": marts.fct_salary(fct_orders, share),
+        "fct_profit": marts.fct_profit(fct_orders, expenses, share),
+        "fct_expenses": marts.fct_expenses(expenses),
+        "fct_worker_performance": marts.fct_worker_performance(fct_orders),
+        "dim_customers": marts.dim_customers(fct_orders),
+        "dim_service_types": marts.dim_service_types(fct_orders),
+        "missed_discount_by_year": marts.missed_discount_by_year(fct_orders),
+    }
+    for name, mart in built.items():
+        tables.save_table(mart, name)
+    return ["fct_orders", *built]
+
+
 def stage(spark: SparkSession) -> None:
     """Register the staging views over the published tables."""
     tables.register(staging.stg_orders(tables.source(spark, "raw_orders")), "stg_orders")

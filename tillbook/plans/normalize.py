@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillbook import fixed_values as V
 from tillbook.functions.dates import (
@@ -19,7 +20,12 @@ from tillbook.functions.dates import (
     parse_order_date,
     salary_date,
 )
-from tillbook.functions.numbers import number_to_int, number_to_long, rupiah_to_int
+from tillbook.functions.numbers import (
+    cut_to_int,
+    number_to_int,
+    number_to_long,
+    rupiah_to_int,
+)
 from tillbook.operators.columns import project, rename, with_lineage
 
 ORDER_AMOUNTS = ["price", "discount", "total_price"]
@@ -33,6 +39,14 @@ def _either(is_synthetic: bool | Column, synthetic: Column, real: Column) -> Col
     return synthetic if is_synthetic else real
 
 
+def _amount(df: DataFrame, name: str, is_synthetic: bool | Column) -> Column:
+    """Money text by the feed's kind; a column stored as numbers is only cut."""
+    c = F.col(name)
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        return _either(is_synthetic, number_to_int(c), cut_to_int(c))
+    return _either(is_synthetic, number_to_int(c), rupiah_to_int(c))
+
+
 def normalize_orders(
     feed: DataFrame,
     data_source: str | Column,
@@ -51,7 +65,7 @@ def normalize_orders(
         "order_date": parse_order_date(F.col("order_date"), date_formats),
     }
     for c in ORDER_AMOUNTS:
-        typed[c] = _either(is_synthetic, number_to_int(F.col(c)), rupiah_to_int(F.col(c)))
+        typed[c] = _amount(out, c, is_synthetic)
     return out.withColumns(typed)
 
 
@@ -98,7 +112,7 @@ def normalize_expenses(
             is_synthetic, F.lit(None).cast("boolean"), is_imputed(parsed, payday)
         )
     for c in EXPENSE_AMOUNTS:
-        typed[c] = _either(is_synthetic, number_to_int(F.col(c)), rupiah_to_int(F.col(c)))
+        typed[c] = _amount(out, c, is_synthetic)
     return out.withColumns(typed).drop("__parsed", "__payday")
 
 
