@@ -358,3 +358,11 @@ def test_staging_keeps_rows_and_stays_in_vocabulary(spark, rows):
         assert r["discount_type"] in V.DISCOUNT_TYPES
         assert r["notes"] is None or r["notes"].strip(" ") == r["notes"] != ""
         assert r["customer_name_clean"] == name or name in V.CUSTOMER_ALIASES
+
+
+def test_row_wise_plans_accept_a_stream(spark, paths, tmp_path):
+    stream = spark.readStream.schema(feeds.ORDERS_FEED).option("header", True).csv(os.path.dirname(paths.orders_2023) + "/o23*")
+    staged = staging.stg_orders(N.normalize_orders_real(feeds.missing_as_null(stream), V.REAL_2023))
+    query = staged.writeStream.format("memory").queryName("staged_stream").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert {r["payment_method"] for r in spark.table("staged_stream").collect()} == {"Transfer", "Cash"}
