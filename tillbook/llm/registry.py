@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillbook.llm import (
     byte_bpe,
     license_scan,
+    lm_score,
     near_dup,
     nearest,
     pseudonyms,
@@ -53,6 +54,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(documents(spark, sf_dir), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.digest(documents(spark, sf_dir))
+
+
 def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return pseudonyms.pseudonymise(docs, pseudonym_key(spark), count_as="n_values")
@@ -72,7 +77,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_nearest, op3_secrets, op4_source_mix, op5_licenses, op6_byte_bpe, op8_pseudonyms, op9_near_dup, op10_quality, pipeline)
+    found = (op1_nearest, op3_secrets, op4_source_mix, op5_licenses, op6_byte_bpe, op7_lm_score, op8_pseudonyms, op9_near_dup, op10_quality, pipeline)
     return {f.__name__: f for f in found}
 
 
