@@ -16,6 +16,7 @@ from tillbook.llm import (
     nearest,
     pseudonyms,
     quality_rules,
+    repeats,
     secret_scan,
     source_mix,
 )
@@ -38,6 +39,10 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(documents(spark, sf_dir))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(documents(spark, sf_dir))
 
@@ -77,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_nearest, op3_secrets, op4_source_mix, op5_licenses, op6_byte_bpe, op7_lm_score, op8_pseudonyms, op9_near_dup, op10_quality, pipeline)
+    found = (op1_nearest, op2_repeats, op3_secrets, op4_source_mix, op5_licenses, op6_byte_bpe, op7_lm_score, op8_pseudonyms, op9_near_dup, op10_quality, pipeline)
     return {f.__name__: f for f in found}
 
 
