@@ -34,9 +34,9 @@ from tillbook.sources.scratch import write_scratch
 LENGTH, WINDOW = 200, 100
 #: Windows that a string of LENGTH bytes has.
 SPREAD = LENGTH - WINDOW + 1
-BLOCK_BYTES = 4 << 20
-#: Contexts sorted in one task.
-CONTEXTS_A_TASK = 20_000
+BLOCK_BYTES = 2 << 20
+#: Regions sorted together.
+CONTEXTS_A_TASK = 4_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BYTE_HASH = np.random.default_rng(11).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -106,11 +106,32 @@ class Block:
         return at, h[at], context
 
 
-def suffix_array(text: np.ndarray, region_end: np.ndarray) -> np.ndarray:
+def prefix_hashes(text: np.ndarray, region_end: np.ndarray) -> np.ndarray:
+    """Hash of the first LENGTH bytes of each suffix, or of what its region has (128 + 64 + 8)."""
+    left = region_end - np.arange(len(text))
+    h = {1: np.where(text > 0, (text.astype(np.uint64) + np.uint64(1)) * MIX, np.uint64(0))}
+
+    def join(a: np.ndarray, b: np.ndarray, gap: int) -> np.ndarray:
+        out = (a ^ (a >> np.uint64(29))) * MIX
+        out[:-gap] += np.where(left[:-gap] > gap, b[gap:], np.uint64(0))
+        return out
+
+    size = 1
+    while size < 128:
+        h[2 * size] = join(h[size], h[size], size) if size < len(text) else h[size]
+        size *= 2
+    whole = h[128]
+    for size, gap in ((64, 128), (8, 192)):
+        whole = join(whole, h[size], gap) if gap < len(text) else whole
+    return whole ^ np.minimum(left, LENGTH).astype(np.uint64)
+
+
+def suffix_array(text: np.ndarray, region_end: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Suffixes in order of their first LENGTH bytes at least, by two-stage sorting.
 
     ``text`` holds bytes + 1, and 0 after each region; ``region_end`` is where each
-    position's region ends.
+    position's region ends; ``words`` the eight bytes from each position. Suffixes that
+    agree in LENGTH bytes, or to the ends of their regions, are sorted as one.
     """
     n = len(text)
     # Smaller than the successor: the next differing value is larger.
@@ -121,27 +142,34 @@ def suffix_array(text: np.ndarray, region_end: np.ndarray) -> np.ndarray:
     small = change[np.minimum.accumulate(nonzero[::-1])[::-1]] > 0
 
     # Stage one: direct sort of the small ones, eight bytes at a time, ties only.
-    words = first_words(text, region_end)
     direct = np.flatnonzero(small & (text > 0))
-    order = direct[np.argsort(words[direct], kind="stable")]
-    group = np.concatenate(([0], np.cumsum(np.diff(words[order]) != 0))) if len(order) else np.empty(0, np.int64)
-    for depth in range(8, LENGTH, 8):
-        tied = np.zeros(len(order), bool)
-        same = group[1:] == group[:-1]
-        tied[1:] |= same
-        tied[:-1] |= same
-        where = np.flatnonzero(tied)
-        if not len(where):
-            break
-        at = order[where] + depth
-        key = np.where(at < n, words[np.minimum(at, n - 1)], np.uint64(0))
-        key[at >= region_end[order[where]]] = 0
-        turn = np.lexsort((key, group[where]))
-        order[where] = order[where][turn]
-        key, g = key[turn], group[where]
-        fresh = np.zeros(len(order), np.int64)
-        fresh[where[1:]] = (g[1:] == g[:-1]) & (key[1:] != key[:-1])
-        group = np.cumsum(np.concatenate(([0], (group[1:] != group[:-1]).astype(np.int64))) + fresh)
+    if len(direct):
+        _, once, which = np.unique(prefix_hashes(text, region_end)[direct], return_index=True, return_inverse=True)
+        order = direct[once]
+        turn = np.argsort(words[order], kind="stable")
+        order, came = order[turn], turn
+        group = np.concatenate(([0], np.cumsum(np.diff(words[order]) != 0)))
+        for depth in range(8, LENGTH, 8):
+            tied = np.zeros(len(order), bool)
+            same = group[1:] == group[:-1]
+            tied[1:] |= same
+            tied[:-1] |= same
+            where = np.flatnonzero(tied)
+            if not len(where):
+                break
+            at = order[where] + depth
+            key = np.where(at < region_end[order[where]], words[np.minimum(at, n - 1)], np.uint64(0))
+            turn = np.lexsort((key, group[where]))
+            order[where], came[where] = order[where][turn], came[where][turn]
+            key, g = key[turn], group[where]
+            fresh = np.zeros(len(order), np.int64)
+            fresh[where[1:]] = (g[1:] == g[:-1]) & (key[1:] != key[:-1])
+            group = np.cumsum(np.concatenate(([0], (group[1:] != group[:-1]).astype(np.int64))) + fresh)
+        rank = np.empty(len(order), np.int64)
+        rank[came] = np.arange(len(order))
+        order = direct[np.argsort(rank[which], kind="stable")]
+    else:
+        order = direct
 
     # Stage two: buckets in order; each suffix places the larger one before it.
     by_first = np.split(order, np.searchsorted(text[order], np.arange(1, 258)))
@@ -173,14 +201,13 @@ def suffix_array(text: np.ndarray, region_end: np.ndarray) -> np.ndarray:
 def first_words(text: np.ndarray, region_end: np.ndarray) -> np.ndarray:
     """The eight bytes from each position as one big-endian number, zeros past the region."""
     n = len(text)
-    raw = np.where(text > 0, text.astype(np.int64) - 1, 0).astype(np.uint64)
-    out = np.zeros(n, np.uint64)
+    raw = np.where(text > 0, text - np.uint16(1), np.uint16(0)).astype(np.uint8)
+    bytes_ = np.zeros((n, 8), np.uint8)
     for i in range(8):
-        part = np.zeros(n, np.uint64)
-        part[: n - i] = raw[i:]
-        part[np.arange(n) + i >= region_end] = 0
-        out = (out << np.uint64(8)) | part
-    return out
+        bytes_[: n - i, i] = raw[i:]
+    for i in range(1, 8):  # the last positions of each region
+        bytes_[np.flatnonzero(region_end - np.arange(n) <= i), i] = 0
+    return bytes_.view(">u8").ravel().astype(np.uint64)
 
 
 def repeated_starts(regions: list[bytes], places: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -197,12 +224,12 @@ def repeated_starts(regions: list[bytes], places: np.ndarray, low: np.ndarray, h
     region = np.repeat(np.arange(len(regions)), sizes + 1)
     offset = np.arange(len(text)) - starts[region]
     valid = (offset >= low[region]) & (offset <= high[region]) & (offset + LENGTH <= sizes[region])
-    order = suffix_array(text, ends[region])
+    words = first_words(text, ends[region])
+    order = suffix_array(text, ends[region], words)
     order = order[valid[order]]
     if len(order) < 2:
         return np.empty((0, 2), np.int64)
     # Adjacent common prefixes, in words, up to LENGTH.
-    words = first_words(text, ends[region])
     common = np.zeros(len(order) - 1, np.int64)
     going = np.arange(len(order) - 1)
     for depth in range(0, LENGTH, 8):
@@ -227,7 +254,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(block: pa.Table, asked: pa.Table) -> pa.Table:
     """Two regions around each asked anchor, each with the 150 bytes that its strings share."""
-    out: dict[str, list] = {n: [] for n in ("shared", "block", "place", "low", "high", "region")}
+    out: dict[str, list] = {n: [] for n in CUT.names}
     if not block.num_rows:
         return pa.table(out, schema=CUT)
     here = Block(unpack(block.column("texts")[0].as_py()))
@@ -241,20 +268,22 @@ def _cut(block: pa.Table, asked: pa.Table) -> pa.Table:
             first, last = max(first, s), min(last, e - LENGTH)
             if shared >= s and shared + WINDOW + half <= e and first <= last:
                 region = here.buffer[first : last + LENGTH]
-                values = (hashlib.blake2b(here.buffer[shared : shared + WINDOW + half], digest_size=16).digest(), number, first, 0, last - first, region)
+                key = hashlib.blake2b(here.buffer[shared : shared + WINDOW + half], digest_size=16).digest()
+                kind = xxhash.xxh3_64_intdigest(region, shared - first) - (1 << 63)
+                values = (key, kind, number, first, last - first, region)
                 for column, v in zip(out.values(), values, strict=True):
                     column.append(v)
     return pa.table(out, schema=CUT)
 
 
-CUT = pa.schema([("shared", pa.binary()), ("block", pa.int64()), ("place", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("region", pa.binary())])
+CUT = pa.schema([("shared", pa.binary()), ("kind", pa.int64()), ("block", pa.int64()), ("place", pa.int64()), ("high", pa.int64()), ("region", pa.binary())])
 
 
 def _sort(table: pa.Table) -> pa.Table:
     blocks, numbers = np.unique(table.column("block").to_numpy(), return_inverse=True)
     place = table.column("place").to_numpy()
     hits = repeated_starts(
-        table.column("region").to_pylist(), numbers.astype(np.int64) * (1 << 40) + place, table.column("low").to_numpy(), table.column("high").to_numpy()
+        table.column("region").to_pylist(), numbers.astype(np.int64) * (1 << 40) + place, np.zeros(len(place), np.int64), table.column("high").to_numpy()
     )
     # Neighbouring starts of one region as one run.
     hits = hits[np.lexsort((hits[:, 1], hits[:, 0]))]
@@ -325,12 +354,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1")
     # One example of each context, where some context of the anchor is its own.
     asked = kinds.join(mixed, "anchor", "left_semi").select("example.block", "example.at").distinct()
-    schema = "shared binary, block bigint, place bigint, low bigint, high bigint, region binary"
+    schema = "shared binary, kind bigint, block bigint, place bigint, high bigint, region binary"
     texts = stored.select("block", "texts")
     # Blocks that are not asked for stay where they are: an inner group has both sides.
     cut = write_scratch(asked.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(lambda a, b: _cut(b, a), schema))
-    met = cut.groupBy("shared").agg(F.count("*").alias("n")).filter("n > 1").select("shared")
-    near = write_scratch(cut.join(met, "shared", "left_semi"))
+    # Once more: equal regions repeat each other, a region of its own is sorted with one
+    # example of each other region that shares its 150 bytes, if there is any.
+    # (Two anchors near a text's edge may cut one and the same region: that is one place.)
+    where = F.struct("block", "place")
+    regions = cut.groupBy("shared", "kind").agg(F.min(where).alias("example"), F.max(where).alias("last"))
+    regions = write_scratch(regions.select("shared", "kind", "example", (F.col("example") != F.col("last")).alias("twice")))
+    open_ = regions.groupBy("shared").agg(F.count("*").alias("kinds"), F.bool_and("twice").alias("closed"))
+    open_ = open_.filter("kinds > 1 AND NOT closed")
+    chosen = regions.join(open_, "shared", "left_semi").select("shared", "kind", "example.block", "example.place")
+    near = write_scratch(cut.join(chosen, ["shared", "kind", "block", "place"], "left_semi"))
+    equal = cut.join(regions.filter("twice"), ["shared", "kind"], "left_semi").select(
+        "block", F.col("place").alias("low"), (F.col("place") + F.col("high")).alias("high")
+    )
     tasks = near.count() // CONTEXTS_A_TASK + 1
     task = F.pmod(F.xxhash64("shared"), F.lit(tasks))
     partial = near.withColumn("task", task).groupBy("task").applyInArrow(_sort, "block bigint, low bigint, high bigint")
@@ -339,7 +379,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = repeated.join(shared, ["anchor", "context"], "left_semi").select(
         "block", (F.col("at") - (SPREAD - 1)).cast("bigint").alias("low"), F.col("at").cast("bigint").alias("high")
     )
-    runs = whole.unionByName(partial)
+    runs = whole.unionByName(equal).unionByName(partial)
     return stored.groupBy("block").cogroup(runs.groupBy("block")).applyInArrow(_remove, RESULT)
 
 
