@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 
 from tillbook.sources.scratch import write_scratch
 
-BITS, SUBSTRINGS, RADIUS = 64, 4, 5
+BITS, SUBSTRINGS, RADIUS = 64, 4, 6
 WIDTH = BITS // SUBSTRINGS
 #: Codes further apart than this are not reranked.
-RERANK_DISTANCE = 32
+RERANK_DISTANCE = 36
 #: Vectors on which the rotation is learned, those with the least id hashes.
 SAMPLE = 20_000
 PART_ROWS, QUERY_ROWS = 8_192, 1_024
