@@ -1,6 +1,7 @@
 """Numbering, quantiles, projections, checks and profiles against brute force."""
 
 import random
+import re
 import statistics
 
 import pytest
@@ -10,8 +11,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tillbook import fixed_values as V
+from tillbook.functions.draws import PRIME, draw
 from tillbook.operators import columns, profile, quality
-from tillbook.operators.numbering import heavy_groups, number_all, number_within
+from tillbook.operators.numbering import number_all, number_within
+from tillbook.operators.ordering import sort_over_ranges
 from tillbook.operators.quantiles import describe_ints
 
 
@@ -39,17 +42,16 @@ def test_number_all(skewed):
     assert got == expected_numbers(rows, lambda g: 0)
 
 
-@pytest.mark.parametrize("hot_rows", [100, 10_000])
-def test_number_within(skewed, hot_rows):
+def test_number_within(skewed):
     rows, df = skewed
-    out = number_within(df, ["g"], [F.col("k"), F.col("id")], "n", hot_rows)
+    out = number_within(df, ["g"], [F.col("k"), F.col("id")], "n")
     assert out.columns == ["g", "k", "id", "n"]
     assert {r["id"]: r["n"] for r in out.collect()} == expected_numbers(rows, lambda g: g)
 
 
 def test_number_within_ties_use_each_number_once(skewed):
     rows, df = skewed
-    out = number_within(df, ["g"], [F.col("k")], "n", 100).filter("g = 'hot'")
+    out = number_within(df, ["g"], [F.col("k")], "n").filter("g = 'hot'")
     got = sorted((r["n"], r["k"]) for r in out.collect())
     assert [n for n, _ in got] == list(range(1, 3001))
     assert [k for _, k in got] == sorted(k for g, k, _ in rows if g == "hot")
@@ -59,17 +61,50 @@ def test_hot_group_is_cut_over_ranges(spark, skewed):
     _, df = skewed
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        out = number_within(df.filter("g = 'hot'"), ["g"], [F.col("k")], "n", 100)
+        out = number_within(df.filter("g = 'hot'"), ["g"], [F.col("k")], "n")
         sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) >= 4 and max(sizes) < 1500
 
 
-def test_heavy_groups(skewed):
-    _, df = skewed
-    assert len(heavy_groups(df, ["g"], 100)) == 2
-    assert heavy_groups(df, ["g"], 10_000) == []
+def test_many_equal_groups_and_one_with_half_of_the_rows(spark):
+    """Half of the rows are one group, the others 20,000 groups of five."""
+    group = F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id") % 20_000)
+    df = spark.range(0, 200_000, 1, 8).select("id", group.alias("g"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = number_within(df, ["g"], [F.desc("id")], "n").withColumn("task", F.spark_partition_id())
+        hot = [r["count"] for r in out.filter("g = -1").groupBy("task").count().collect()]
+        groups = out.groupBy("g").agg(F.max("n").alias("top"), F.count_distinct("n").alias("numbers"), F.count("*").alias("rows"))
+        assert groups.filter("top <> rows OR numbers <> rows").isEmpty()
+        assert max(hot) < 60_000 and len(hot) >= 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_ranges_grow_with_stored_bytes(spark, tmp_path):
+    spark.range(0, 400_000, 1, 1).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    counts = []
+    try:
+        for size in ("8m", "64k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            plan = sort_over_ranges(spark.read.parquet(str(tmp_path / "t")), [F.col("id").asc()])
+            plan = plan._jdf.queryExecution().optimizedPlan().toString()
+            counts.append(int(re.search(r"RepartitionByExpression \[.*\], (\d+)", plan)[1]))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert counts[1] > counts[0] and stored.count() == 400_000
+
+
+def test_draws_differ_beyond_the_prime(spark):
+    ids = [5, 5 + PRIME, 5 + 2 * PRIME, 5 + 2**32, 5 + 2**40]
+    rows = spark.createDataFrame([(i,) for i in ids], "id bigint").select(
+        *[draw(F.col("id"), s).alias(f"d{s}") for s in range(1, 8)]
+    ).collect()
+    assert len({tuple(r) for r in rows}) == len(ids)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -136,11 +136,16 @@ def test_table_sinks(spark, tmp_path):
     assert len(tables.first_rows(df, [F.col("n")], 1)) == 1
 
 
-def test_spread_only_when_cores_idle(spark, tmp_path):
-    spark.range(0, 100, 1, 1).write.parquet(str(tmp_path / "one"))
-    assert feeds.spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 8
-    wide = spark.range(0, 100, 1, 20)
-    assert feeds.spread(wide) is wide
+@pytest.mark.parametrize("line", ["1,2023-01-01,A,EXTRA,LOST", "1,2023-01-01"])
+def test_lines_of_another_length_are_refused(spark, tmp_path, line):
+    (tmp_path / "f.csv").write_text(f"No,Tanggal,Nama\n1,2023-01-01,A\n{line}\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        feeds.read_csv(spark, str(tmp_path / "f.csv")).select("No").collect()
+
+
+def test_quoted_line_break(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('No,Nama,x\n1,"A\nB",c\n')
+    assert feeds.read_csv(spark, str(tmp_path / "f.csv"), multiline=True).first()["Nama"] == "A\nB"
 
 
 def orders_frame(spark, rows):
@@ -156,8 +161,8 @@ def test_loyalty_audit(spark):
         (4, d(2023, 8, 1), "A", 50000, 5000), (5, d(2024, 1, 1), "A", 50000, 0), (6, d(2023, 6, 1), "B", 50000, None),
         (7, d(2023, 6, 2), "B", 50000, None),
     ]
-    for hot_rows in (2, 1000):
-        got = {r["order_no"]: r for r in marts.fct_orders(orders_frame(spark, rows), hot_rows=hot_rows).collect()}
+    for given in (rows, rows[::-1]):
+        got = {r["order_no"]: r for r in marts.fct_orders(orders_frame(spark, given)).collect()}
         assert {n: r["order_sequence_per_customer"] for n, r in got.items()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1, 6: 1, 7: 2}
         assert {n: r["is_discount_missed"] for n, r in got.items()} == {
             1: False, 2: False, 3: False, 4: True, 5: False, 6: None, 7: None,
@@ -168,9 +173,27 @@ def test_loyalty_audit(spark):
 def test_order_ids_are_unique(spark):
     d = dt.date(2023, 8, 1)
     rows = [(62, d, "A", 1, 0), (62, d, "B", 1, 0), (12345, d, "A", 1, 0), (1234, d, "A", 1, 0), (7, d, "A", 1, 0)]
-    for hot_rows in (1, 1000):
-        ids = {r["order_id"] for r in marts.order_surrogate_key(orders_frame(spark, rows), hot_rows=hot_rows).collect()}
-        assert ids == {"2023_0062", "2023_0062_2", "2023_12345", "2023_1234", "2023_0007"}
+    rows += [(None, d, "A", 1, 0), (2023, None, "A", 1, 0), (-5, d, "A", 1, 0), (None, None, "A", 1, 0)]
+    for given in (rows, rows[::-1]):
+        keyed = marts.order_surrogate_key(orders_frame(spark, given)).collect()
+        assert sorted(r["order_id"] for r in keyed) == sorted([
+            "2023_0062", "2023_0062_2", "2023_12345", "2023_1234", "2023_0007",
+            "2023_none", "none_2023", "2023_-0005", "none_none",
+        ])
+        assert {r["customer_name"] for r in keyed if r["order_id"] == "2023_0062_2"} == {"B"}
+
+
+def test_unpaid_and_free_orders_earn_nothing(spark):
+    d = dt.date(2023, 8, 1)
+    rows = [
+        (n, d, "A", "NB", "Tas", p, 0, p, None, status, "Vian", "real_2023", False)
+        for n, (p, status) in enumerate([(50000, "Paid"), (50000, None), (50000, "  "), (0, "Paid"), (None, "Paid")])
+    ]
+    full = staging.with_revenue(staging.staged_orders(spark.createDataFrame(rows, V.RAW_ORDERS_SCHEMA)))
+    month = marts.fct_monthly_revenue(full, "net_revenue").first()
+    assert (month["orders"], month["revenue"]) == (5, 50000)
+    left_out = {r["reason"]: (r["orders"], r["excluded"]) for r in marts.revenue_excluded_orders(full).collect()}
+    assert left_out == {"unpaid": (2, 100000), "no_total": (2, 0)}
 
 
 def test_profit_keeps_one_sided_months(spark):
@@ -196,14 +219,21 @@ def test_month_gaps(spark):
     assert sorted(r["month_start"] for r in marts.month_gaps(orders).collect()) == [dt.date(2023, 12, 1), dt.date(2024, 1, 1)]
 
 
-def test_material_lookup_both_ways(spark, monkeypatch):
+def test_material_lookup(spark):
     orders = orders_frame(spark, [(1, dt.date(2023, 1, 1), "A", 1, 0)])
-    table = spark.createDataFrame([("New Balance", "Suede", "High")], "shoe_brand_clean string, shoe_material string, material_complexity string")
-    for bound in (100, 0):
-        monkeypatch.setattr(marts, "LOOKUP_BROADCAST_ROWS", bound)
-        row = marts.with_material(orders, table).first()
-        assert (row["shoe_material"], row["material_complexity"]) == ("Suede", "High")
+    names = "shoe_brand_clean string, shoe_material string, material_complexity string"
+    table = spark.createDataFrame([("New Balance", "Suede", "High")], names)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for bound in (before, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+            row = marts.with_material(orders, table).first()
+            assert (row["shoe_material"], row["material_complexity"]) == ("Suede", "High")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert marts.with_material(orders, table.limit(0)).first()["shoe_material"] == "Unknown"
+    with pytest.raises(Exception, match="repeats the brand"):
+        marts.with_material(orders, table.union(table)).collect()
 
 
 def test_union_keeps_every_row_and_staging_too(spark):
@@ -278,15 +308,14 @@ def test_golden_feeds(spark):
     assert bills.agg(F.count_if("is_total_price_mismatch"), F.count("is_date_imputed"), F.min("expense_date"), F.max("expense_date")).first()[:] == (
         0, 0, dt.date(2025, 1, 1), dt.date(2026, 4, 11),
     )
-    for hot_rows in (3, 1000):
-        fct = marts.fct_orders(staged, hot_rows=hot_rows)
-        audit = {
-            r["year"]: r[1:]
-            for r in fct.groupBy("year").agg(
-                F.count("*"), F.count_if("is_repeat_customer"), F.count_if(F.col("expected_discount") > 0), F.count_if("is_discount_missed")
-            ).collect()
-        }
-        assert audit == {2025: (235, 195, 108, 90), 2026: (65, 30, 23, 18)}
+    fct = marts.fct_orders(staged)
+    audit = {
+        r["year"]: r[1:]
+        for r in fct.groupBy("year").agg(
+            F.count("*"), F.count_if("is_repeat_customer"), F.count_if(F.col("expected_discount") > 0), F.count_if("is_discount_missed")
+        ).collect()
+    }
+    assert audit == {2025: (235, 195, 108, 90), 2026: (65, 30, 23, 18)}
     assert {r["year"]: r["missed_discounts"] for r in marts.discount_alert(fct).collect()} == {2025: 90, 2026: 18}
 
 

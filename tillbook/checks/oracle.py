@@ -242,6 +242,15 @@ fct_orders AS (
   FROM placed
 )"""
 
+EARNED = STAGED + """,
+earned AS (
+  SELECT *, coalesce(nullif(trim(payment_status), ''), 'unknown') AS payment_status_filled,
+    nullif(trim(payment_status), '') IS NOT NULL AND coalesce(total_price > 0, FALSE) AS is_revenue,
+    CASE WHEN nullif(trim(payment_status), '') IS NOT NULL AND total_price > 0
+      THEN total_price ELSE 0 END AS net_revenue
+  FROM staged
+)"""
+
 MONTHLY = STAGED + "," + STG_EXPENSES + f""",
 revenue_month AS (
   SELECT year, month, count(*) AS orders, CAST(sum(total_price) AS BIGINT) AS revenue
@@ -271,12 +280,20 @@ profit AS (
     AND s.month IS NOT DISTINCT FROM coalesce(r.month, e.month)
 )"""
 
+_ORDER_ID = (
+    "concat_ws('_', coalesce(CAST(year AS VARCHAR), 'none'), coalesce(CASE WHEN order_no < 0 THEN '-' ELSE '' END || "
+    "CASE WHEN length(CAST(abs(order_no) AS VARCHAR)) < 4 "
+    "THEN repeat('0', 4 - length(CAST(abs(order_no) AS VARCHAR))) || abs(order_no) ELSE CAST(abs(order_no) AS VARCHAR) END, 'none'), "
+    "CASE WHEN n > 1 THEN CAST(n AS VARCHAR) END)"
+)
+
 _PRIME = 2147483647
 
 
 def _draw(row_id: str, stream: int, n: str) -> str:
     """The generator's draw below n, written with 128-bit integers."""
-    step = f"((({row_id}) % {_PRIME}) * 48271 + {1013904223 + 97531 * stream}) % {_PRIME}"
+    high = f"((({row_id}) // {_PRIME}) % {_PRIME}) * {69621 + stream}"
+    step = f"((({row_id}) % {_PRIME}) * 48271 + {high} + {1013904223 + 97531 * stream}) % {_PRIME}"
     h = f"CAST({step} AS HUGEINT)"
     fifth = f"(({h} * {h}) % {_PRIME} * (({h} * {h}) % {_PRIME})) % {_PRIME} * {h} % {_PRIME}"
     return f"CAST(floor(CAST(({fifth}) * {n} AS DOUBLE) / {_PRIME}) AS INTEGER)"
@@ -375,6 +392,7 @@ def oracle_sql() -> dict[str, str]:
     re_ = lambda s: with_(RAW_EXPENSES, s)
     st = lambda s: with_(STAGED, s)
     fo = lambda s: with_(FCT_ORDERS, s)
+    ne = lambda s: with_(EARNED, s)
     mo = lambda s: with_(MONTHLY, s)
     sy = lambda s: with_(SYNTH, s)
 
@@ -624,15 +642,48 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {_STG_COLUMNS}, price, discount, order_sequence_per_customer, is_repeat_customer, "
         "expected_discount, discount_gap, is_discount_missed FROM fct_orders"
     )
-    q["order_surrogate_key"] = st(
+    surrogate = (
         "SELECT order_no, order_date, year AS source_year, total_price, "
-        "concat_ws('_', CAST(year AS VARCHAR), CASE WHEN length(CAST(order_no AS VARCHAR)) < 4 "
-        "THEN repeat('0', 4 - length(CAST(order_no AS VARCHAR))) || order_no ELSE CAST(order_no AS VARCHAR) END, "
-        "CASE WHEN n > 1 THEN CAST(n AS VARCHAR) END) AS order_id FROM ("
+        f"{_ORDER_ID} AS order_id FROM ("
         "SELECT *, row_number() OVER (PARTITION BY year, order_no ORDER BY order_date NULLS LAST, "
         "customer_name_clean NULLS LAST, price NULLS LAST, discount NULLS LAST, total_price NULLS LAST, "
         "shoe_type NULLS LAST, service_type NULLS LAST, worker NULLS LAST) AS n FROM staged)"
     )
+    q["order_surrogate_key"] = st(surrogate)
+    q["dq_order_id_unique"] = st(
+        "SELECT 'unique_order_id' AS check_name, CAST(count(*) AS BIGINT) AS failing, count(*) = 0 AS passed "
+        f"FROM (SELECT order_id FROM ({surrogate}) GROUP BY order_id HAVING count(*) > 1)"
+    )
+    q["dq_order_id_not_null"] = st(_check("not_null_order_id", "order_id IS NULL", f"({surrogate})"))
+    q["payment_status_filled"] = ne(
+        "SELECT order_no, payment_status, total_price, payment_status_filled, is_revenue, net_revenue FROM earned"
+    )
+    q["net_monthly_revenue"] = ne(
+        "SELECT year, month, count(*) AS orders, CAST(sum(net_revenue) AS BIGINT) AS revenue FROM earned GROUP BY ALL"
+    )
+    q["net_profit"] = with_(MONTHLY.replace("staged AS (", "staged_all AS (", 1).replace(
+        ",\nrevenue_month AS (",
+        """,
+staged AS (
+  SELECT * REPLACE (CASE WHEN nullif(trim(payment_status), '') IS NOT NULL AND total_price > 0
+    THEN total_price ELSE 0 END AS total_price) FROM staged_all
+),
+revenue_month AS (""", 1), "SELECT * FROM profit")
+    q["revenue_by_year"] = ne(
+        "SELECT year, count(*) AS orders, CAST(sum(net_revenue) AS BIGINT) AS revenue FROM earned GROUP BY year"
+    )
+    q["worker_performance_in_year"] = ne(
+        "SELECT worker, count(*) AS orders, CAST(sum(net_revenue) AS BIGINT) AS earnings FROM earned "
+        "WHERE year = 1996 GROUP BY worker"
+    )
+    q["revenue_excluded_orders"] = ne(
+        "SELECT year, CASE WHEN payment_status_filled = 'unknown' THEN 'unpaid' ELSE 'no_total' END AS reason, "
+        "count(*) AS orders, CAST(sum(total_price) AS BIGINT) AS excluded FROM earned "
+        "WHERE NOT is_revenue GROUP BY ALL"
+    )
+    q["dq_net_not_null"] = ne(
+        _union([_check(f"not_null_{c}", f"{c} IS NULL", "earned") for c in ("net_revenue", "payment_status_filled", "is_revenue")])
+    )
     q["fct_monthly_revenue"] = mo("SELECT * FROM revenue_month")
     q["fct_monthly_expenses"] = mo("SELECT * FROM expense_month")
     q["fct_salary"] = mo(

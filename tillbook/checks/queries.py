@@ -408,8 +408,10 @@ def date_range(spark, sf):
 
 @_query
 def sample_head(spark, sf):
+    ledger = orders_ledger(spark, sf)
     order = ["order_date", "order_no", "customer_name", "total_price"]
-    return profile.head(orders_ledger(spark, sf), [F.col(c).asc_nulls_last() for c in order])
+    order += [c for c in ledger.columns if c not in order]
+    return profile.head(ledger, [F.col(c).asc_nulls_last() for c in order])
 
 
 @_query
@@ -454,6 +456,16 @@ def dq_unique(spark, sf):
     return quality.unique(orders_ledger(spark, sf), "order_no")
 
 
+@_query
+def dq_order_id_unique(spark, sf):
+    return quality.unique(marts.order_surrogate_key(staged(spark, sf)), "order_id")
+
+
+@_query
+def dq_order_id_not_null(spark, sf):
+    return quality.not_null(marts.order_surrogate_key(staged(spark, sf)), ["order_id"])
+
+
 @_query
 def dq_accepted_values(spark, sf):
     return quality.accepted_values(
@@ -580,6 +592,54 @@ def shoe_material(spark, sf):
     return joined.select("order_no", "shoe_brand_clean", "shoe_material", "material_complexity")
 
 
+# --- revenue without unpaid and free orders -----------------------------------
+
+
+def _revenue(spark, sf):
+    return staging.with_revenue(staged(spark, sf))
+
+
+@_query
+def payment_status_filled(spark, sf):
+    return _revenue(spark, sf).select(
+        "order_no", "payment_status", "total_price", "payment_status_filled", "is_revenue", "net_revenue"
+    )
+
+
+@_query
+def net_monthly_revenue(spark, sf):
+    return marts.fct_monthly_revenue(_revenue(spark, sf), "net_revenue")
+
+
+@_query
+def net_profit(spark, sf):
+    profit = marts.fct_profit(
+        _revenue(spark, sf), staged_expenses(spark, sf), SHARE, revenue="net_revenue"
+    )
+    return profit.withColumns({c: F.col(c).cast("double") for c in ("salary", "profit")})
+
+
+@_query
+def revenue_by_year(spark, sf):
+    return marts.yearly_revenue(_revenue(spark, sf), "net_revenue")
+
+
+@_query
+def worker_performance_in_year(spark, sf):
+    return marts.fct_worker_performance(_revenue(spark, sf), "net_revenue", year=1996)
+
+
+@_query
+def revenue_excluded_orders(spark, sf):
+    return marts.revenue_excluded_orders(_revenue(spark, sf))
+
+
+@_query
+def dq_net_not_null(spark, sf):
+    names = ["net_revenue", "payment_status_filled", "is_revenue"]
+    return quality.not_null(_revenue(spark, sf), names)
+
+
 # --- synthetic feeds, grown from the tables' own keys -------------------------
 
 

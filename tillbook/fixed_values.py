@@ -101,6 +101,8 @@ UNKNOWN_BRAND = "Unknown"
 
 DISCOUNT_LABELS = {0: "none", 5000: "special", 8000: "promo", 10000: "loyalty"}
 LOYALTY_DISCOUNT = 10000
+MANUAL_DISCOUNT_ABOVE = 10000
+UNKNOWN_PAYMENT_STATUS = "unknown"
 DISCOUNT_TYPES = ["none", "loyalty", "special", "promo", "manual", "surcharge", "unknown"]
 
 # ---------------------------------------------------------------------------

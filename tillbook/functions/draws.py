@@ -3,7 +3,8 @@
 ``rand(seed)`` depends on how rows fall into partitions, so a retried task or a
 different cluster gives other data. These draws depend on the id alone: an affine
 step followed by x^5 over a prime field, which permutes the field and breaks the
-regular pattern of consecutive ids.
+regular pattern of consecutive ids. An id beyond the prime has a high part; each stream
+weighs it differently, so two ids below the prime squared (4.6e18) never agree in two streams.
 """
 
 from __future__ import annotations
@@ -15,12 +16,16 @@ from pyspark.sql import functions as F
 
 PRIME = 2147483647  # 2^31 - 1; x -> x^5 is a permutation modulo this prime
 MULTIPLIER = 48271
+HIGH_MULTIPLIER = 69621
 
 
 def draw(row_id: Column, stream: int) -> Column:
     """An integer in [0, PRIME), independent-looking per ``stream``."""
     start = F.lit(1013904223 + 97531 * stream)
-    step = F.pmod(F.pmod(row_id.cast("bigint"), F.lit(PRIME)) * F.lit(MULTIPLIER) + start, F.lit(PRIME))
+    whole, prime = row_id.cast("bigint"), F.lit(PRIME).cast("bigint")
+    low = F.pmod(whole, prime)
+    high = F.pmod(F.call_function("div", whole - low, prime), prime) * F.lit(HIGH_MULTIPLIER + stream)
+    step = F.pmod(low * F.lit(MULTIPLIER) + high + start, prime)
     square = F.pmod(step * step, F.lit(PRIME))
     return F.pmod(F.pmod(square * square, F.lit(PRIME)) * step, F.lit(PRIME))
 

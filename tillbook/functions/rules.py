@@ -60,6 +60,6 @@ def discount_type(discount: Column) -> Column:
     cases = [(discount == amount, F.lit(label)) for amount, label in V.DISCOUNT_LABELS.items()]
     cases += [
         (discount < 0, F.lit("surcharge")),
-        (discount > max(V.DISCOUNT_LABELS), F.lit("manual")),
+        (discount > V.MANUAL_DISCOUNT_ABOVE, F.lit("manual")),
     ]
     return _first_match(cases, F.lit("unknown"))

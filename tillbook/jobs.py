@@ -17,6 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from tillbook.session import SETTINGS  # noqa: E402
 from tillbook.plans import ingest, synthetic  # noqa: E402
 from tillbook.sources import tables  # noqa: E402
 from tillbook.sources.scratch import clear_scratch  # noqa: E402
@@ -35,31 +36,46 @@ def _parser() -> argparse.ArgumentParser:
     marts.add_argument("--share", required=True, help="the workers' share of revenue, 0 to 1")
     load = commands.add_parser("load", help="validate the feeds and publish the tables and views")
     load.add_argument("--warehouse", required=True)
+    load.add_argument(
+        "--multiline", action="append", default=[], choices=[f.name for f in fields(ingest.FeedPaths)],
+        help="a feed whose cells hold line breaks; may be given several times",
+    )
     for feed in fields(ingest.FeedPaths):
         load.add_argument("--" + feed.name.replace("_", "-"), required=True)
     return parser
 
 
-def run(spark: SparkSession, argv: list[str]) -> None:
-    args = _parser().parse_args(argv)
-    if args.command == "generate":
-        orders = synthetic.generate_orders(spark, args.start, args.end, args.orders)
-        tables.save_csv(orders, f"{args.out}/synthetic_orders")
-        if args.items:
-            items = spark.read.parquet(args.items)
-            supplies = synthetic.generate_supplies(items, args.start, args.end)
-            tables.save_csv(supplies, f"{args.out}/synthetic_supplies")
-        clear_scratch(spark)
-        return
-    if args.command == "marts":
-        ingest.build_marts(spark, args.share)
-        clear_scratch(spark)
-        return
+def _generate(spark: SparkSession, args: argparse.Namespace) -> None:
+    orders = synthetic.generate_orders(spark, args.start, args.end, args.orders)
+    tables.save_csv(orders, f"{args.out}/synthetic_orders")
+    if args.items:
+        items = spark.read.parquet(args.items)
+        supplies = synthetic.generate_supplies(items, args.start, args.end)
+        tables.save_csv(supplies, f"{args.out}/synthetic_supplies")
+
+
+def _load(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = ingest.FeedPaths(**{f.name: getattr(args, f.name) for f in fields(ingest.FeedPaths)})
-    for summary in ingest.load(spark, paths, args.warehouse).values():
+    for summary in ingest.load(spark, paths, args.warehouse, args.multiline).values():
         summary.show(truncate=False)
     ingest.stage(spark)
-    clear_scratch(spark)
+
+
+def run(spark: SparkSession, argv: list[str]) -> None:
+    """One command; its scratch files go whether it succeeds or fails."""
+    args = _parser().parse_args(argv)
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    try:
+        if args.command == "generate":
+            _generate(spark, args)
+        elif args.command == "marts":
+            ingest.build_marts(spark, args.share)
+        else:
+            _load(spark, args)
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

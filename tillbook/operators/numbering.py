@@ -1,16 +1,16 @@
 """Row numbers over the whole frame or within groups, safe for hot groups.
 
 A plain ``row_number`` window sends each group to one task, and a window without
-keys sends everything to one task. Both fail once a single customer, or "the whole
-table", holds a large part of the rows. Here such groups are numbered from a range
-sort, which cuts one group over many tasks: each range counts its own rows, and a
-small table of range offsets turns local positions into group positions.
+keys sends everything to one task. Here rows are sorted over ranges by (keys, order),
+which cuts any group, whatever its size, over as many ranges as it fills. A window
+numbers the rows of each (range, group). Groups lie one after another, so only the
+first group of a range can have rows in earlier ranges: one offset per range makes
+the numbers global.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,83 +18,48 @@ from pyspark.sql import functions as F
 from tillbook.operators.ordering import sort_over_ranges
 from tillbook.sources.scratch import write_scratch
 
-# A group below this size is numbered by an ordinary window. It is a task-size
-# setting, not a limit on groups: larger ones take the range-sort way.
-HOT_ROWS = 5_000_000
+_AT, _RANGE, _FIRST, _LAST, _ROWS, _SHIFT = "__at", "__range", "__first", "__last", "__rows", "__shift"
 
-# Heavy groups are looked for in lanes of the group hash, so that sketches are merged
-# by many tasks. Each lane tracks SKETCH_ITEMS groups and reports SKETCH_TOP, which
-# bounds both what a task holds and what reaches the driver. More than 128 lanes
-# would make the object aggregate sort its input.
-SKETCH_LANES = 64
-SKETCH_ITEMS = 512
-SKETCH_TOP = 128
 
-_AT, _RANGE, _FIRST, _ROWS, _SHIFT = "__at", "__range", "__first", "__rows", "__shift"
+def _offsets(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per range: up to which place its first group reaches, and its rows before the range."""
+    pieces = placed.groupBy(_RANGE, *keys).agg(
+        F.min(_AT).alias(_FIRST), F.max(_AT).alias(_LAST), F.count("*").alias(_ROWS)
+    )
+    # Only the first and the last group of a range can go on elsewhere: two rows a range.
+    end = F.max(_LAST).over(Window.partitionBy(_RANGE))
+    starts = F.col(_FIRST) == F.shiftleft(_RANGE, 33)
+    edges = pieces.withColumn("__end", end).filter(starts | (F.col(_LAST) == F.col("__end")))
+    before = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    shifted = edges.withColumn(_SHIFT, F.sum(_ROWS).over(before))
+    return shifted.filter(starts).select(
+        F.col(_RANGE).alias("__r"), F.col(_LAST).alias("__until"), F.coalesce(_SHIFT, F.lit(0)).alias(_SHIFT)
+    )
+
 
+def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """1-based row number within ``keys``; like ``row_number`` but for any group size.
 
-def _by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
-    """Number rows 1.. within ``keys`` (the whole frame if empty) from a range sort."""
-    # A range sort reads its input twice, first to find the ranges: write it once.
+    Null keys form a group. The input and its sorted copy are written to the shared
+    scratch folder when this is called: ranges must be the same for numbers and offsets.
+    """
     by_group = [F.col(k).asc_nulls_first() for k in keys]
     ordered = sort_over_ranges(write_scratch(df), [*by_group, *order])
-    # After the sort, this id is (range number, position in range). It is written
-    # out because both uses below must see one and the same set of ranges.
+    # After the sort, this id is (range number, position in range).
     placed = write_scratch(ordered.withColumn(_AT, F.monotonically_increasing_id()))
     placed = placed.withColumn(_RANGE, F.shiftright(_AT, 33))
-
-    # One row per (range, group): at most ranges + groups rows, for few groups.
-    pieces = placed.groupBy(_RANGE, *keys).agg(F.min(_AT).alias(_FIRST), F.count("*").alias(_ROWS))
-    before = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = pieces.select(
-        F.col(_RANGE).alias("__r"),
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        _FIRST,
-        F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_SHIFT),
-    )
-    same = reduce(
-        lambda acc, k: acc & F.col(k[1]).eqNullSafe(F.col(f"__k{k[0]}")),
-        enumerate(keys),
-        F.col(_RANGE) == F.col("__r"),
+    if keys:
+        local = F.row_number().over(Window.partitionBy(_RANGE, *keys).orderBy(_AT))
+    else:
+        local = F.col(_AT) - F.shiftleft(_RANGE, 33) + 1
+    # Broadcast bound: three numbers for each range of the sort.
+    numbered = placed.withColumn("__local", local).join(
+        F.broadcast(_offsets(placed, keys)), F.col(_RANGE) == F.col("__r")
     )
-    # Broadcast bound: SKETCH_LANES * SKETCH_TOP groups plus the number of sort ranges.
-    numbered = placed.join(F.broadcast(shifts), same)
-    place = (F.col(_AT) - F.col(_FIRST) + F.col(_SHIFT) + 1).cast("bigint")
-    return numbered.select(*df.columns, place.alias(name))
+    shift = F.when(F.col(_AT) <= F.col("__until"), F.col(_SHIFT)).otherwise(F.lit(0))
+    return numbered.select(*df.columns, (F.col("__local") + shift).cast("bigint").alias(name))
 
 
 def number_all(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """1-based sequence over the whole frame in the given order."""
-    return _by_range(df, [], order, name)
-
-
-def heavy_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]:
-    """Hashes of the groups above ``hot_rows``, from one pass with bounded sketches.
-
-    The sketch may miss a group close to the threshold; that changes which way the
-    group takes, never its numbers.
-    """
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
-    top = hashed.groupBy(F.pmod("h", F.lit(SKETCH_LANES)).alias("lane")).agg(
-        F.expr(f"approx_top_k(h, {SKETCH_TOP}, {SKETCH_ITEMS})").alias("top")
-    )
-    heavy = top.select(F.inline("top")).filter(F.col("count") > hot_rows)
-    return [row["item"] for row in heavy.collect()]
-
-
-def number_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    name: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """1-based row number within ``keys``; like ``row_number`` but for any group size."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    plain = F.row_number().over(window).cast("bigint").alias(name)
-    hot = heavy_groups(df, keys, hot_rows)
-    if not hot:
-        return df.select("*", plain)
-    is_hot = F.xxhash64(*keys).isin(hot)
-    cold = df.filter(~is_hot).select("*", plain)
-    return cold.unionByName(_by_range(df.filter(is_hot), keys, order, name))
+    return number_within(df, [], order, name)

@@ -9,20 +9,17 @@ from pyspark.sql import functions as F
 
 _TIE = "__tie"
 
-# A shuffle keeps track of (tasks x ranges) blocks, so ranges grow beyond this
-# number rather than in number. A range that outgrows memory is sorted on disk.
-MAX_RANGES = 20_000
-
 
 def sort_over_ranges(stored: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Sort a stored frame into as many ranges as it has scan splits.
 
-    The number of ranges thus follows the size of the data, up to ``MAX_RANGES``. A running
-    id stands behind the keys: rows with equal keys, even exact copies, can then be
-    cut over several ranges instead of filling one. Over stored files the id is the
-    same whenever a task is repeated, so a lost executor changes nothing.
+    A range thus holds about ``spark.sql.files.maxPartitionBytes`` of stored data, however
+    much there is; raise that setting to have fewer, larger ranges. A running id 
+    stands behind the keys: rows with equal keys, even exact copies, can then be cut over
+    several ranges instead of filling one. Over stored files the id is the same whenever
+    a task is repeated, so a lost executor changes nothing.
     """
-    ranges = min(max(1, stored.rdd.getNumPartitions()), MAX_RANGES)
+    ranges = max(1, stored.rdd.getNumPartitions())
     keys = [*order, F.col(_TIE).asc()]
     tied = stored.withColumn(_TIE, F.monotonically_increasing_id())
     return tied.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).drop(_TIE)

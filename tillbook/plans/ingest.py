@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,19 +26,19 @@ class FeedPaths:
     synthetic_supplies: str
 
 
-def union_orders(spark: SparkSession, paths: FeedPaths) -> DataFrame:
+def union_orders(spark: SparkSession, paths: FeedPaths, multiline: Collection[str] = ()) -> DataFrame:
     return union_feeds(
-        N.normalize_orders_real(feeds.read_orders_csv(spark, paths.orders_2023), V.REAL_2023),
-        N.normalize_orders_real(feeds.read_orders_csv(spark, paths.orders_2025), V.REAL_2025),
-        N.normalize_orders_synth(feeds.read_synthetic_csv(spark, paths.synthetic_orders)),
+        N.normalize_orders_real(feeds.read_orders_csv(spark, paths.orders_2023, multiline="orders_2023" in multiline), V.REAL_2023),
+        N.normalize_orders_real(feeds.read_orders_csv(spark, paths.orders_2025, multiline="orders_2025" in multiline), V.REAL_2025),
+        N.normalize_orders_synth(feeds.read_synthetic_csv(spark, paths.synthetic_orders, multiline="synthetic_orders" in multiline)),
     )
 
 
-def union_expenses(spark: SparkSession, paths: FeedPaths) -> DataFrame:
+def union_expenses(spark: SparkSession, paths: FeedPaths, multiline: Collection[str] = ()) -> DataFrame:
     return union_feeds(
-        N.normalize_expenses_real(feeds.read_expenses_csv(spark, paths.expenses_2023), V.REAL_2023),
-        N.normalize_expenses_real(feeds.read_expenses_csv(spark, paths.expenses_2025), V.REAL_2025),
-        N.normalize_expenses_synth(feeds.read_synthetic_csv(spark, paths.synthetic_supplies)),
+        N.normalize_expenses_real(feeds.read_expenses_csv(spark, paths.expenses_2023, multiline="expenses_2023" in multiline), V.REAL_2023),
+        N.normalize_expenses_real(feeds.read_expenses_csv(spark, paths.expenses_2025, multiline="expenses_2025" in multiline), V.REAL_2025),
+        N.normalize_expenses_synth(feeds.read_synthetic_csv(spark, paths.synthetic_supplies, multiline="synthetic_supplies" in multiline)),
     )
 
 
@@ -54,25 +55,31 @@ def raw_expenses(expenses: DataFrame) -> DataFrame:
     return tables.in_order(tables.stage_typed(expenses, V.RAW_EXPENSES_SCHEMA), EXPENSES_ORDER)
 
 
-def load(spark: SparkSession, paths: FeedPaths, warehouse: str) -> dict[str, DataFrame]:
+def load(
+    spark: SparkSession, paths: FeedPaths, warehouse: str, multiline: Collection[str] = ()
+) -> dict[str, DataFrame]:
     """Read, normalise, validate, publish; returns the per-source summaries.
 
     Feeds are parsed once. The checks read a few columns of the staged result; only
-    if all pass is it sorted into new files under ``warehouse`` and the table names
-    pointed at them. A failed check raises and leaves the tables as they were.
-    Files of earlier loads stay until retention clears them.
+    if all pass is it sorted into new files under ``warehouse``, and only when both
+    tables are written are their names pointed at them. A failed check or write raises
+    and leaves the tables as they were. ``multiline`` names the feeds (fields of
+    ``FeedPaths``) whose cells hold line breaks. Files of earlier loads stay until
+    retention clears them.
     """
     run = uuid.uuid4().hex
-    orders = tables.stage_typed(union_orders(spark, paths), V.RAW_ORDERS_SCHEMA)
-    expenses = tables.stage_typed(union_expenses(spark, paths), V.RAW_EXPENSES_SCHEMA)
+    orders = tables.stage_typed(union_orders(spark, paths, multiline), V.RAW_ORDERS_SCHEMA)
+    expenses = tables.stage_typed(union_expenses(spark, paths, multiline), V.RAW_EXPENSES_SCHEMA)
     quality.validate_orders(orders)
     quality.validate_expenses(expenses)
+    written = {}
     for name, frame, order in (
         ("raw_orders", orders, ORDERS_ORDER),
         ("raw_expenses", expenses, EXPENSES_ORDER),
     ):
-        path = f"{warehouse.rstrip('/')}/{name}/{run}"
-        tables.save_parquet(tables.in_order(frame, order), path)
+        written[name] = f"{warehouse.rstrip('/')}/{name}/{run}"
+        tables.save_parquet(tables.in_order(frame, order), written[name])
+    for name, path in written.items():
         tables.publish(spark, name, path)
     return {
         "orders": profile.source_summary(tables.source(spark, "raw_orders"), "order_date"),

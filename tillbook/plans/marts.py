@@ -2,7 +2,7 @@
 
 Aggregates combine before they shuffle, so a hot worker, month or customer costs
 no more than any other. The two marts that number rows within a group use
-``number_within``, which splits groups too large for one task.
+``number_within``, which splits every group over the ranges of a sort.
 """
 
 from __future__ import annotations
@@ -15,11 +15,21 @@ from pyspark.sql import functions as F
 
 from tillbook import fixed_values as V
 from tillbook.functions.text import folded
-from tillbook.operators.numbering import HOT_ROWS, number_within
+from tillbook.operators.numbering import number_within
 
-# What settles the order of a customer's orders on one day.
+# What settles the order of a customer's orders on one day; all remaining columns follow,
+# so only rows that are alike in everything are interchangeable.
 TIE_BREAK = ["order_no", "price", "discount", "total_price", "shoe_type", "service_type", "worker"]
 
+# Stands in an order id for a year or number that is not known.
+MISSING_PART = "none"
+
+
+def _total_order(df: DataFrame, first: Sequence[str]) -> list[Column]:
+    """The given columns, then all others by name."""
+    rest = sorted(c for c in df.columns if c not in first)
+    return [F.col(c).asc_nulls_last() for c in [*first, *rest]]
+
 
 def _sum(c: str | Column) -> Column:
     return F.sum(c).cast("bigint")
@@ -28,17 +38,15 @@ def _sum(c: str | Column) -> Column:
 # --- order grain ------------------------------------------------------------
 
 
-def fct_orders(
-    staged: DataFrame, tie_break: Sequence[str] = tuple(TIE_BREAK), hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def fct_orders(staged: DataFrame, tie_break: Sequence[str] = tuple(TIE_BREAK)) -> DataFrame:
     """Staged orders with their place in the customer's year and the loyalty audit.
 
     Every even order of a customer in a year earns the loyalty discount; a smaller
     discount than earned counts as missed.
     """
-    order = [F.col("order_date").asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
+    order = _total_order(staged, ["order_date", *tie_break])
     numbered = number_within(
-        staged, ["customer_name_clean", "year"], order, "order_sequence_per_customer", hot_rows
+        staged, ["customer_name_clean", "year"], order, "order_sequence_per_customer"
     )
     place = F.col("order_sequence_per_customer")
     earned = F.when(place % 2 == 0, F.lit(V.LOYALTY_DISCOUNT)).otherwise(F.lit(0))
@@ -52,21 +60,26 @@ def fct_orders(
     )
 
 
-def order_surrogate_key(staged: DataFrame, width: int = 4, hot_rows: int = HOT_ROWS) -> DataFrame:
+def order_surrogate_key(staged: DataFrame, width: int = 4) -> DataFrame:
     """``source_year`` and ``order_id``: year and padded number, ``_n`` on repeats.
 
-    Numbers longer than the pad width are kept whole.
+    Numbers longer than the pad width are kept whole, a sign stands before the padding,
+    and a missing part reads ``none``: no two rows share an id.
     """
     tie = [c for c in TIE_BREAK if c != "order_no"]
-    order = [F.col(c).asc_nulls_last() for c in ["order_date", "customer_name_clean", *tie]]
-    with_copy = number_within(staged, ["year", "order_no"], order, "__copy", hot_rows)
-    number = F.col("order_no").cast("string")
-    padded = F.lpad(number, F.greatest(F.lit(width), F.length(number)), F.lit("0"))
+    order = _total_order(staged, ["order_date", "customer_name_clean", *tie])
+    with_copy = number_within(staged, ["year", "order_no"], order, "__copy")
+    number = F.abs("order_no").cast("string")
+    sign = F.when(F.col("order_no") < 0, F.lit("-")).otherwise(F.lit(""))
+    padded = F.concat(sign, F.lpad(number, F.greatest(F.lit(width), F.length(number)), F.lit("0")))
+    missing = F.lit(MISSING_PART)
     suffix = F.when(F.col("__copy") > 1, F.col("__copy").cast("string"))
     return with_copy.withColumns(
         {
             "source_year": F.col("year"),
-            "order_id": F.concat_ws("_", F.col("year").cast("string"), padded, suffix),
+            "order_id": F.concat_ws(
+                "_", F.coalesce(F.col("year").cast("string"), missing), F.coalesce(padded, missing), suffix
+            ),
         }
     ).drop("__copy")
 
@@ -74,9 +87,30 @@ def order_surrogate_key(staged: DataFrame, width: int = 4, hot_rows: int = HOT_R
 # --- monthly facts ----------------------------------------------------------
 
 
-def fct_monthly_revenue(staged: DataFrame) -> DataFrame:
+# Marts of revenue sum ``total_price``; with revenue="net_revenue", on the result of
+# ``staging.with_revenue``, unpaid and free orders count as orders but earn nothing.
+
+
+def fct_monthly_revenue(staged: DataFrame, revenue: str = "total_price") -> DataFrame:
     return staged.groupBy("year", "month").agg(
-        F.count("*").alias("orders"), _sum("total_price").alias("revenue")
+        F.count("*").alias("orders"), _sum(revenue).alias("revenue")
+    )
+
+
+def yearly_revenue(staged: DataFrame, revenue: str = "total_price") -> DataFrame:
+    return staged.groupBy("year").agg(
+        F.count("*").alias("orders"), _sum(revenue).alias("revenue")
+    )
+
+
+def revenue_excluded_orders(with_revenue: DataFrame) -> DataFrame:
+    """Per year: orders kept out of net revenue, by reason, and the totals they name."""
+    status = F.col("payment_status_filled") == V.UNKNOWN_PAYMENT_STATUS
+    reason = F.when(status, F.lit("unpaid")).otherwise(F.lit("no_total"))
+    return (
+        with_revenue.filter(~F.col("is_revenue"))
+        .groupBy("year", reason.alias("reason"))
+        .agg(F.count("*").alias("orders"), _sum("total_price").alias("excluded"))
     )
 
 
@@ -89,7 +123,9 @@ def fct_monthly_expenses(expenses: DataFrame) -> DataFrame:
     )
 
 
-def fct_salary(staged: DataFrame, share: Decimal | str, payday: int = V.SALARY_DAY) -> DataFrame:
+def fct_salary(
+    staged: DataFrame, share: Decimal | str, payday: int = V.SALARY_DAY, revenue: str = "total_price"
+) -> DataFrame:
     """Per worker and month: revenue, the worker's share, what stays in the till.
 
     The share is the shop's to state; there is no default.
@@ -97,22 +133,24 @@ def fct_salary(staged: DataFrame, share: Decimal | str, payday: int = V.SALARY_D
     part = F.lit(Decimal(share)).cast("decimal(9,6)")
     if not 0 <= Decimal(share) <= 1:
         raise ValueError("share must lie between 0 and 1")
-    revenue = F.col("revenue").cast("decimal(20,0)")
-    paid = (revenue * part).cast("decimal(26,2)")
+    earned = F.col("revenue").cast("decimal(20,0)")
+    paid = (earned * part).cast("decimal(26,2)")
     return (
         staged.groupBy("worker", "year", "month")
-        .agg(_sum("total_price").alias("revenue"))
+        .agg(_sum(revenue).alias("revenue"))
         .withColumns(
             {
                 "salary": paid,
-                "kas": (revenue - paid).cast("decimal(26,2)"),
+                "kas": (earned - paid).cast("decimal(26,2)"),
                 "pay_date": F.make_date(F.col("year"), F.col("month"), F.lit(payday)),
             }
         )
     )
 
 
-def fct_profit(staged: DataFrame, expenses: DataFrame, share: Decimal | str) -> DataFrame:
+def fct_profit(
+    staged: DataFrame, expenses: DataFrame, share: Decimal | str, revenue: str = "total_price"
+) -> DataFrame:
     """Per month: revenue, supplies, salaries and what is left.
 
     The monthly figures are stacked and summed. That keeps months only one side
@@ -120,7 +158,7 @@ def fct_profit(staged: DataFrame, expenses: DataFrame, share: Decimal | str) ->
     from the same aggregate, so orders are read once.
     """
     zero = F.lit(0)
-    earned = fct_salary(staged, share).select(
+    earned = fct_salary(staged, share, revenue=revenue).select(
         "year", "month", "revenue", zero.alias("expenses"), "salary"
     )
     supplies = fct_monthly_expenses(expenses).select(
@@ -147,9 +185,13 @@ def net_margin(profit: DataFrame) -> DataFrame:
 # --- dimensions and summaries ------------------------------------------------
 
 
-def fct_worker_performance(staged: DataFrame) -> DataFrame:
-    return staged.groupBy("worker").agg(
-        F.count("*").alias("orders"), _sum("total_price").alias("earnings")
+def fct_worker_performance(
+    staged: DataFrame, revenue: str = "total_price", year: int | None = None
+) -> DataFrame:
+    """Per worker: orders and earnings, of all years or of one."""
+    chosen = staged if year is None else staged.filter(F.col("year") == year)
+    return chosen.groupBy("worker").agg(
+        F.count("*").alias("orders"), _sum(revenue).alias("earnings")
     )
 
 
@@ -182,11 +224,11 @@ def fct_expenses(expenses: DataFrame) -> DataFrame:
     )
 
 
-def top_customers(staged: DataFrame, k: int = 10) -> DataFrame:
+def top_customers(staged: DataFrame, k: int = 10, revenue: str = "total_price") -> DataFrame:
     """The k customers with the most revenue; ties by name."""
     return (
         staged.groupBy("customer_name_clean")
-        .agg(_sum("total_price").alias("revenue"))
+        .agg(_sum(revenue).alias("revenue"))
         .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("customer_name_clean"))
         .limit(k)
     )
@@ -247,19 +289,31 @@ def month_gaps(staged: DataFrame) -> DataFrame:
     )
 
 
-# A lookup above this many rows is joined by shuffle instead of being broadcast.
-LOOKUP_BROADCAST_ROWS = 100_000
+#: Ways a brand is cut when the lookup is too large to be broadcast.
+BRAND_SALTS = 64
 
 
-def with_material(staged: DataFrame, materials: DataFrame) -> DataFrame:
+def with_material(staged: DataFrame, materials: DataFrame, salts: int = BRAND_SALTS) -> DataFrame:
     """Add ``shoe_material`` and ``material_complexity`` from the shop's own table.
 
     ``materials`` has (shoe_brand_clean, shoe_material, material_complexity), one
-    row per brand. Brands it lacks are ``Unknown``.
+    row per brand; a repeated brand is an error when the result is computed. Brands it
+    lacks are ``Unknown``. The optimiser broadcasts a lookup that is small in bytes; a
+    larger one is joined by brand and salt, so one brand is spread over many tasks.
     """
-    small = materials.limit(LOOKUP_BROADCAST_ROWS + 1).count() <= LOOKUP_BROADCAST_ROWS
-    lookup = F.broadcast(materials) if small else materials
-    joined = staged.join(lookup, "shoe_brand_clean", "left")
-    return joined.withColumns(
-        {c: F.coalesce(F.col(c), F.lit("Unknown")) for c in ("shoe_material", "material_complexity")}
+    names = ("shoe_material", "material_complexity")
+    repeated = F.concat(F.lit("material lookup repeats the brand "), F.col("shoe_brand_clean"))
+    single = materials.groupBy("shoe_brand_clean").agg(
+        F.count("*").alias("__n"), *[F.first(c).alias(c) for c in names]
+    )
+    lookup = single.select(
+        "shoe_brand_clean",
+        *[F.when(F.col("__n") == 1, F.col(c)).otherwise(F.raise_error(repeated)).alias(c) for c in names],
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"),
+    )
+    # From the row itself, so a repeated task deals rows alike.
+    salt = F.pmod(F.xxhash64(*staged.columns), F.lit(salts)).cast("int")
+    joined = staged.withColumn("__salt", salt).join(lookup, ["shoe_brand_clean", "__salt"], "left")
+    return joined.drop("__salt").withColumns(
+        {c: F.coalesce(F.col(c), F.lit("Unknown")) for c in names}
     )

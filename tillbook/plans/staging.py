@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillbook import fixed_values as V
 from tillbook.functions import rules
 from tillbook.functions.text import blank_to_null, trimmed_or_null
 
@@ -37,6 +38,23 @@ def staged_orders(raw_orders: DataFrame) -> DataFrame:
     )
 
 
+def with_revenue(staged: DataFrame) -> DataFrame:
+    """Adds ``payment_status_filled``, ``is_revenue`` and ``net_revenue``.
+
+    A blank payment status reads ``unknown``. Such orders, and orders without a positive
+    total, stay in the ledger and its counts, but their net revenue is 0.
+    """
+    status = trimmed_or_null(F.col("payment_status"))
+    earned = status.isNotNull() & F.coalesce(F.col("total_price") > 0, F.lit(False))
+    return staged.withColumns(
+        {
+            "payment_status_filled": F.coalesce(status, F.lit(V.UNKNOWN_PAYMENT_STATUS)),
+            "is_revenue": earned,
+            "net_revenue": F.when(earned, F.col("total_price")).otherwise(F.lit(0)),
+        }
+    )
+
+
 def stg_orders(raw_orders: DataFrame) -> DataFrame:
     return staged_orders(raw_orders).select(*STG_ORDER_COLUMNS)
 

@@ -92,7 +92,7 @@ def generate_supplies(items: DataFrame, start: date, end: date) -> DataFrame:
 
     ``items`` has (item_id, item_name, brand, unit_price, quantity, every_months).
     The purchase happens up to ten days after it is due, so it may fall past
-    ``end``. A start day above 28 is refused: months lack it.
+    ``end``. Rows come by date, ties by item and turn. A start day above 28 is refused: months lack it.
     """
     if start.day > 28:
         raise ValueError("start day must be 28 or less")
@@ -102,8 +102,9 @@ def generate_supplies(items: DataFrame, start: date, end: date) -> DataFrame:
     planned = items.select("*", F.posexplode(due).alias("turn", "due_date"))
     seed = F.col("item_id").cast("bigint") * 1021 + F.col("turn")
     late = draw_below(seed, 8, V.SUPPLY_JITTER_DAYS + 1)
-    return planned.select(
-        F.date_add("due_date", late).alias("Tanggal"),
+    dated = planned.withColumn("Tanggal", F.date_add("due_date", late)).orderBy("Tanggal", "item_id", "turn")
+    return dated.select(
+        "Tanggal",
         F.col("item_name").alias("Nama Barang"),
         F.col("brand").alias("Merk"),
         F.col("unit_price").alias("Harga"),

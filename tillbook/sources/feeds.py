@@ -12,20 +12,6 @@ ORDERS_FEED = T.StructType([T.StructField(h, T.StringType()) for h in ORDER_HEAD
 EXPENSES_FEED = T.StructType([T.StructField(h, T.StringType()) for h in EXPENSE_HEADERS])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share a scan's rows among idle cores.
-
-    A compressed or multi-line file, or one with a single row group, cannot be split
-    and would be cleaned by one task. Cleaning costs more than moving the rows, so
-    they are dealt out when the scan has fewer than half as many partitions as
-    there are cores. A scan that already fills the cluster is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores)
-
-
 def missing_as_null(df: DataFrame) -> DataFrame:
     """Null for every text cell that only spells out "missing"."""
     return df.selectExpr(
@@ -46,14 +32,17 @@ def read_csv(
 
     Without a schema the names come from the header line alone; no data is scanned
     to guess types. With one, each file's header is checked against it. Quoted
-    line breaks need ``multiline``, which stops files from being split.
+    line breaks need ``multiline``, which stops files from being split. A line with more
+    or fewer cells than the header is an error: no cell is lost or made up. To see that,
+    the parser reads all cells of a line, also where few are asked for.
     """
     reader = spark.read.option("header", True).option("inferSchema", False)
     reader = reader.option("enforceSchema", False).option("multiLine", multiline)
     reader = reader.option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
+    reader = reader.option("mode", "FAILFAST").option("columnPruning", False)
     if schema is not None:
         reader = reader.schema(schema)
-    return missing_as_null(spread(reader.csv(path)))
+    return missing_as_null(reader.csv(path))
 
 
 def read_orders_csv(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
