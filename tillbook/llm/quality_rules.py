@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -87,7 +88,8 @@ def word_counts(text: bytes, words: list[bytes]) -> tuple[int, int, int, int]:
     twice = ordered[1:][ordered[1:] == ordered[:-1]]
     if not len(twice):
         return word_chars, n_symbols, n_dup, 0
-    again = np.isin(windows, twice)
+    at = np.searchsorted(twice, windows)
+    again = twice[np.minimum(at, len(twice) - 1)] == windows
     covered = np.zeros(n, bool)
     for k in range(3):
         covered[k : n - 2 + k] |= again
@@ -108,20 +110,32 @@ def class_histogram(text: bytes) -> np.ndarray:
     return np.bincount(CLASS_TABLE[np.frombuffer(text, np.uint8)], minlength=10)[:9]
 
 
-def plain_word(word: bytes) -> bytes:
-    """Lower case, without the punctuation around it."""
-    return word.lower().strip(SENTENCE)
+#: Upper case to lower, punctuation to space.
+PLAIN = bytes.maketrans(
+    bytes(range(65, 91)) + SENTENCE, bytes(range(97, 123)) + b" " * len(SENTENCE)
+)
 
 
-def js_distance(p: np.ndarray, q: np.ndarray) -> float:
-    """Square root of the Jensen-Shannon divergence of two histograms, base 2."""
-    if not p.sum() or not q.sum():
-        return 0.0
-    p, q = p / p.sum(), q / q.sum()
+def plain_words(text: bytes) -> list[bytes]:
+    """The words compared with a reference: in lower case, parted by space or punctuation."""
+    return text.translate(PLAIN).split()
+
+
+def js_distances(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Row by row: square root of the Jensen-Shannon divergence of two histograms, base 2.
+
+    A row without any count on either side has distance 0.
+    """
+    sums = p.sum(1, keepdims=True), q.sum(1, keepdims=True)
+    p, q = (x / np.maximum(n, 1) for x, n in zip((p, q), sums, strict=True))
     m = (p + q) / 2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        parts = np.where(p > 0, p * np.log2(p / m), 0) + np.where(q > 0, q * np.log2(q / m), 0)
-    return float(np.sqrt(max(0.0, parts.sum() / 2)))
+    parts = sum(x * np.log2(np.where(x > 0, x, 1) / np.where(x > 0, m, 1)) for x in (p, q))
+    found = np.sqrt(np.maximum(0.0, parts.sum(1) / 2))
+    return np.where((sums[0] * sums[1])[:, 0] > 0, found, 0.0)
+
+
+def js_distance(p: np.ndarray, q: np.ndarray) -> float:
+    return float(js_distances(np.asarray(p, float)[None], np.asarray(q, float)[None])[0])
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -146,7 +160,7 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, keys, kinds, ns = [], [], [], []
         for lang, counts in words_of.items():
             langs += [lang] * len(counts)
-            keys += map(plain_word, counts)
+            keys += counts
             kinds += [0] * len(counts)
             ns += counts.values()
         for lang, h in classes.items():
@@ -163,8 +177,7 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for text, lang in zip(binary(batch.column("text")), batch.column("lang").to_pylist(), strict=True):
-            words = text.split()
-            words_of.setdefault(lang, Counter()).update(words)
+            words_of.setdefault(lang, Counter()).update(plain_words(text))
             classes[lang] = classes.get(lang, 0) + class_histogram(text)
         if sum(map(len, words_of.values())) > MOST_HELD:
             yield out()
@@ -179,62 +192,65 @@ def references(source: DataFrame, limits: Limits) -> dict[str | None, tuple[list
     sums = source.mapInArrow(_count_task, "lang string, word binary, kind int, n bigint")
     sums = write_scratch(sums.groupBy("lang", "word", "kind").agg(F.sum("n").alias("n")))
     spark = source.sparkSession
-    size = sums.filter("kind = 0 AND lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("words"))
+    words = sums.filter("kind = 0")
+    size = words.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("words"))
     size = size.filter(F.col("words") >= limits.own_reference_words).orderBy(F.desc("words"), "lang").limit(limits.languages)
-    own = [r["lang"] for r in size.collect()]
+    total = {r["lang"]: r["words"] for r in size.collect()}
+    own = list(total)
+    total[None] = words.agg(F.sum("n")).first()[0] or 0
     named = spark.createDataFrame([(x,) for x in own], "lang string")
     pooled = sums.groupBy("word", "kind").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "kind", "n")
     both = sums.join(F.broadcast(named), "lang").select("lang", "word", "kind", "n").unionByName(pooled)
     # Only the first rows of each group are kept before the shuffle.
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "word")
     top = both.filter("n > 0").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max(limits.common, 9))
-    totals = both.groupBy("lang", "kind").agg(F.sum("n").alias("total"))
     out = {lang: ([], [], np.zeros(9)) for lang in [*own, None]}
     for r in top.orderBy("rank").collect():
-        words, counts, classes = out[r["lang"]]
+        common, counts, classes = out[r["lang"]]
         if r["kind"]:
             classes[int(bytes(r["word"]))] = r["n"]
         elif r["rank"] <= limits.common:
-            words.append(bytes(r["word"]))
+            common.append(bytes(r["word"]))
             counts.append(r["n"])
-    total = {r["lang"]: r["total"] for r in totals.filter("kind = 0").collect()}
     return {
-        lang: (words, np.array([*counts, total.get(lang, 0) - sum(counts)], float), classes)
-        for lang, (words, counts, classes) in out.items()
+        lang: (common, np.array([*counts, total[lang] - sum(counts)], float), classes)
+        for lang, (common, counts, classes) in out.items()
     }
 
 
-class Places(dict):
-    """Word as it stands -> its place among the common words; the last place is the others'."""
-
-    def __init__(self, common: list[bytes]):
-        super().__init__()
-        self.common = {w: i for i, w in enumerate(common)}
-
-    def __missing__(self, word: bytes) -> int:
-        at = self.common.get(plain_word(word), len(self.common))
-        if len(self) >= MOST_HELD:
-            self.clear()
-        self[word] = at
-        return at
-
-
-def judge(text: bytes, reference: tuple[Places, np.ndarray, np.ndarray], limits: Limits) -> tuple:
-    """n_words, the four counts, base_failed, kept, the two distances (null below the lengths)."""
-    words = text.split()
-    n = len(words)
-    counts = word_counts(text, words)
-    failed = base_failed(n, counts[3])
-    place, common, classes = reference
-    by_chars = by_words = None
-    if len(text) >= limits.least_chars:
-        by_chars = js_distance(class_histogram(text), classes)
-    if n >= limits.least_words:
-        other = len(common) - 1
-        mine = np.bincount(np.fromiter(map(place.__getitem__, words), np.int64, n), minlength=other + 1)
-        by_words = js_distance(mine, common)
-    far = (by_chars or 0) > limits.most_chars_distance or (by_words or 0) > limits.most_words_distance
-    return n, *counts, failed, not failed and not far, by_chars, by_words
+def places(common: list[bytes]) -> dict[bytes, int]:
+    """Common word -> its place; the last place is the others'."""
+    return {w: i for i, w in enumerate(common)}
+
+
+def judge(texts: list[bytes], langs: list, known: dict, limits: Limits) -> list[tuple]:
+    """Per text: n_words, the four counts, base_failed, kept, the two distances (null below
+    the lengths). ``known``: per language the common words' places and both references."""
+    n_texts = len(texts)
+    width = max(len(common) for _, common, _ in known.values())
+    by_class, class_refs = np.zeros((2, n_texts, 9))
+    by_word, word_refs = np.zeros((2, n_texts, width))
+    bases, lengths = [], []
+    for i, (text, lang) in enumerate(zip(texts, langs, strict=True)):
+        words = text.split()
+        n = len(words)
+        counts = word_counts(text, words)
+        bases.append((n, *counts, base_failed(n, counts[3])))
+        place, common, classes = known.get(lang) or known[None]
+        if len(text) >= limits.least_chars:
+            by_class[i], class_refs[i] = class_histogram(text), classes
+        if n >= limits.least_words:
+            plain, other = plain_words(text), len(common) - 1
+            found = np.fromiter(map(place.get, plain, repeat(other)), np.int64, len(plain))
+            by_word[i] = np.bincount(found, minlength=width)
+            word_refs[i, : other + 1] = common
+        lengths.append((len(text) >= limits.least_chars, n >= limits.least_words))
+    by_chars, by_words = js_distances(by_class, class_refs), js_distances(by_word, word_refs)
+    far = (by_chars > limits.most_chars_distance) | (by_words > limits.most_words_distance)
+    return [
+        (*base, not base[5] and not f, c if long[0] else None, w if long[1] else None)
+        for base, long, f, c, w in zip(bases, lengths, far.tolist(), by_chars.tolist(), by_words.tolist(), strict=True)
+    ]
 
 
 VERDICT = (
@@ -259,13 +275,10 @@ def rate(
     """
     source = _source(docs, id_col, text_col, lang_col)
     known = references(source, limits)
-    known = {k: (Places(words), counts, classes) for k, (words, counts, classes) in known.items()}
+    known = {k: (places(words), counts, classes) for k, (words, counts, classes) in known.items()}
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [
-            judge(text, known.get(lang) or known[None], limits)
-            for text, lang in zip(binary(batch.column("text")), batch.column("lang").to_pylist(), strict=True)
-        ]
+        rows = judge(binary(batch.column("text")), batch.column("lang").to_pylist(), known, limits)
         columns = list(zip(*rows, strict=True))
         kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
         arrays = [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]]
@@ -277,11 +290,11 @@ def rate(
 def kept_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns; no join and no shuffle."""
     known = references(_source(docs, "doc_id", "text", "lang"), limits)
-    known = {k: (Places(words), counts, classes) for k, (words, counts, classes) in known.items()}
+    known = {k: (places(words), counts, classes) for k, (words, counts, classes) in known.items()}
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, langs = batch.column("text").fill_null(""), batch.column("lang").to_pylist()
-        keep = [judge(t, known.get(x) or known[None], limits)[6] for t, x in zip(binary(texts), langs, strict=True)]
+        keep = [row[6] for row in judge(binary(texts), langs, known, limits)]
         return batch.filter(pa.array(keep, pa.bool_()))
 
     return by_batch(docs, work, docs.schema)
