@@ -1,6 +1,7 @@
 """Places where an operator once did less than its whole job."""
 
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -41,3 +42,50 @@ def test_lm_blocks_get_the_counts_of_all():
             assert all(want[s] == (z, o) for s, z, o in got)
     # A held-out text alone asks for slots and counts nothing there.
     assert not sum(z.sum() + o.sum() for _, z, o in model.distinct(texts[2:3], [False], codes, bits))
+
+
+def fitted(spark, texts, files):
+    """The number of bits in the fit, and whether each text's own counts are left out."""
+    rows = [(i, t.decode()) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(files)
+    seen = []
+    real = lm_score._fit
+
+    def spy(met):
+        seen.extend(met.select("cells", "cell_counts").collect())
+        return real(met)
+
+    lm_score._fit = spy
+    try:
+        scores = lm_score.score(frame).collect()
+    finally:
+        lm_score._fit = real
+    cells = [(v, n) for r in seen for v, n in zip(lm_score._unpack_slots(r["cells"]).tolist(), lm_score._unpack_numbers(r["cell_counts"]).tolist(), strict=True)]
+    return cells, scores
+
+
+def test_lm_weights_rest_on_all_training_texts(spark):
+    texts = [b" ".join(some_texts(3, i)).replace(b"\n", b"") for i in range(30)]
+    texts[3] = b" ".join(some_texts(20, 99)).replace(b"\n", b"")  # above the 20,000 characters of old
+    assert len(texts[3]) > 20_000
+    train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert texts[3] in train
+    normal = [model.normal(t) for t in train]
+    codes = model.Codes(np.bincount(np.frombuffer(b"".join(normal), np.uint8), minlength=256))
+    bits = sum(int(codes.length[np.frombuffer(t, np.uint8)].sum()) for t in normal)
+    for files in (1, 5):
+        cells, scores = fitted(spark, texts, files)
+        assert sum(n for _, n in cells) == bits and len(scores) == 30
+
+
+def test_lm_own_counts_are_left_out():
+    texts = some_texts(6)
+    codes, bits = model.Codes(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256)), 24
+    asked = list(model.distinct(texts, [True] * 6, codes, bits))
+    judge = model.Mixer([model.Slots(s, bits) for s, _, _ in asked], [], codes, bits, model.EVEN)
+    odds, gate, bit, doc, _ = judge.inputs(texts, [(z, o) for _, z, o in asked])
+    for i in range(6):
+        others = list(model.distinct(texts, [j != i for j in range(6)], codes, bits))
+        plain = model.Mixer(judge.slots, [model.odds_of(z, o) for _, z, o in others], codes, bits, model.EVEN)
+        x, g, b, *_ = plain.inputs([texts[i]])
+        assert np.array_equal(odds[:, doc == i], x) and np.array_equal(gate[doc == i], g) and np.array_equal(bit[doc == i], b)
