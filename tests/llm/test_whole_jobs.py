@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from tillbook.llm import lm_score
+from tillbook.llm import lm_score, quality_rules
 from tillbook.llm import mixing_model as model
 
 
@@ -89,3 +89,24 @@ def test_lm_own_counts_are_left_out():
         plain = model.Mixer(judge.slots, [model.odds_of(z, o) for _, z, o in others], codes, bits, model.EVEN)
         x, g, b, *_ = plain.inputs([texts[i]])
         assert np.array_equal(odds[:, doc == i], x) and np.array_equal(gate[doc == i], g) and np.array_equal(bit[doc == i], b)
+
+
+def test_quality_judges_small_and_unnamed_languages(spark):
+    rng = random.Random(3)
+
+    def prose(lang, n):
+        words = [f"{lang}{i}" for i in range(40)]
+        return [" ".join(rng.choices(words, k=160)) + "." for _ in range(n)]
+
+    # 'aa' fills the table; 'bb' has five documents, far below 20,000 words.
+    rows = [(t, "aa") for t in prose("aa", 400)] + [(t, "bb") for t in prose("bb", 5)] + [(t, None) for t in prose("bb", 3)]
+    junk = " ".join(f"#{rng.random()}" for _ in range(90))
+    rows += [(junk, None), (junk, "aa")]
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    kept = {r[0] for r in quality_rules.rate(docs).filter("kept").select("doc_id").collect()}
+    assert kept == set(range(408))
+    out = quality_rules.kept_documents(docs)
+    assert out.columns == docs.columns and {r[0] for r in out.select("doc_id").collect()} == kept
+    # Languages past the 256th have a reference too.
+    many = spark.createDataFrame([(i, t, f"l{i}") for i in range(300) for t in prose(f"l{i}", 1)], "doc_id long, text string, lang string")
+    assert quality_rules.rate(many).filter("kept AND words_distance = 0").count() == 300

@@ -2,9 +2,10 @@
 
 Each document's histogram of character classes and of common words is compared with its
 language's reference by the Jensen-Shannon distance (base 2, between 0 and 1).
-References are sums over all documents: character classes,
-and the most frequent words of the language with all other words as one class. Short
-texts have rough histograms, so each comparison has a least length.
+References are sums over all documents of a language, whatever its size: character
+classes, and the most frequent words with all other words as one class. They are joined by
+language. A text without a language is compared with all references and takes the nearest.
+Short texts have rough histograms, so each comparison has a least length.
 """
 
 from __future__ import annotations
@@ -57,17 +58,13 @@ CLASS_TABLE = _class_table()
 
 @dataclass(frozen=True)
 class Limits:
-    """``common``: words in a reference. Distances count from the least lengths on.
-    ``languages``: the most languages with a reference of their own; others, and a null
-    language, use that of all documents together (this bounds what is broadcast)."""
+    """``common``: words in a reference. Distances count from the least lengths on."""
 
     common: int = 64
-    languages: int = 256
     least_chars: int = 200
     least_words: int = 50
     most_chars_distance: float = 0.30
     most_words_distance: float = 0.45
-    own_reference_words: int = 20_000
 
 
 def word_counts(text: bytes, words: list[bytes]) -> tuple[int, int, int, int]:
@@ -185,39 +182,89 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def references(source: DataFrame, limits: Limits) -> dict[str | None, tuple[list[bytes], np.ndarray, np.ndarray]]:
-    """Per language (None: all together): its common words, their counts with the others'
-    last, and its character classes. At most ``languages`` + 1 entries of ``common`` + 10
-    numbers, so the driver and a broadcast hold it whatever the corpus."""
-    sums = source.mapInArrow(_count_task, "lang string, word binary, kind int, n bigint")
+def references(source: DataFrame, limits: Limits) -> DataFrame:
+    """One row per language: its common words, their counts with the others' last, and its
+    character classes. Rows without a language are in none."""
+    sums = source.filter("lang IS NOT NULL").mapInArrow(_count_task, "lang string, word binary, kind int, n bigint")
     sums = write_scratch(sums.groupBy("lang", "word", "kind").agg(F.sum("n").alias("n")))
-    spark = source.sparkSession
-    words = sums.filter("kind = 0")
-    size = words.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("words"))
-    size = size.filter(F.col("words") >= limits.own_reference_words).orderBy(F.desc("words"), "lang").limit(limits.languages)
-    total = {r["lang"]: r["words"] for r in size.collect()}
-    own = list(total)
-    total[None] = words.agg(F.sum("n")).first()[0] or 0
-    named = spark.createDataFrame([(x,) for x in own], "lang string")
-    pooled = sums.groupBy("word", "kind").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "kind", "n")
-    both = sums.join(F.broadcast(named), "lang").select("lang", "word", "kind", "n").unionByName(pooled)
+    total = sums.groupBy("lang").agg(F.sum(F.when(F.col("kind") == 0, F.col("n")).otherwise(0)).alias("total"))
     # Only the first rows of each group are kept before the shuffle.
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "word")
-    top = both.filter("n > 0").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max(limits.common, 9))
-    out = {lang: ([], [], np.zeros(9)) for lang in [*own, None]}
-    for r in top.orderBy("rank").collect():
-        common, counts, classes = out[r["lang"]]
-        if r["kind"]:
-            classes[int(bytes(r["word"]))] = r["n"]
-        elif r["rank"] <= limits.common:
-            common.append(bytes(r["word"]))
-            counts.append(r["n"])
+    top = sums.filter("n > 0 OR kind = 1").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max(limits.common, 9))
+    top = top.filter((F.col("kind") == 1) | (F.col("rank") <= limits.common))
+    listed = lambda kind, first: F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct(first, "word", "n"))))
+    by_lang = top.groupBy("lang").agg(listed(0, "rank").alias("w"), listed(1, "word").alias("c")).join(total, "lang")
+    others = F.col("total") - F.aggregate("w.n", F.lit(0).cast("bigint"), lambda s, n: s + n)
+    return write_scratch(
+        by_lang.select(
+            F.col("lang").alias("ref_lang"),
+            F.col("w.word").alias("ref_words"),
+            F.concat(F.col("w.n"), F.array(others)).alias("ref_counts"),
+            F.col("c.n").alias("ref_classes"),
+        )
+    )
+
+
+#: A language's documents are joined in so many shares where references are not broadcast.
+SALTS = 32
+#: References that a task compares with texts at once.
+REFERENCES_AT_ONCE = 256
+REF = ("ref_lang", "ref_words", "ref_counts", "ref_classes")
+
+
+def _read_references(columns: list[list]) -> dict:
     return {
-        lang: (common, np.array([*counts, total[lang] - sum(counts)], float), classes)
-        for lang, (common, counts, classes) in out.items()
+        lang: (places(words or []), np.array(counts or [0.0], float), np.array(classes or [0.0] * 9, float))
+        for lang, words, counts, classes in zip(*columns, strict=True)
     }
 
 
+def _nearest(texts: DataFrame, refs: DataFrame, limits: Limits) -> DataFrame:
+    """row, lang: the reference from which the text of a row is the least far, as a share of the limits."""
+    blocks = refs.withColumn("part", F.pmod(F.xxhash64("ref_lang"), F.ceil(F.lit(refs.count()) / REFERENCES_AT_ONCE)))
+    blocks = blocks.groupBy("part").agg(F.collect_list(F.struct(*REF)).alias("refs")).select("refs")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = ([], [], [])
+        for row, text, refs_ in zip(batch.column("row").to_pylist(), binary(batch.column("text")), batch.column("refs").to_pylist(), strict=True):
+            known = _read_references([[r[c] for r in refs_] for c in REF])
+            found = judge([text] * len(known), list(known), known, limits)
+            far = [max((r[7] or 0) / limits.most_chars_distance, (r[8] or 0) / limits.most_words_distance) for r in found]
+            best, lang = min(zip(far, known, strict=True))
+            for o, x in zip(out, (row, lang, best), strict=True):
+                o.append(x)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.string(), pa.float64()), strict=True)], names=["row", "lang", "far"])
+
+    met = by_batch(texts.crossJoin(blocks), work, "row bigint, lang string, far double")
+    return met.groupBy("row").agg(F.min(F.struct("far", "lang"))["lang"].alias("lang"))
+
+
+def with_references(docs: DataFrame, limits: Limits, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``docs`` with the columns ``REF`` of its language's reference, or of the nearest."""
+    source = _source(docs, id_col, text_col, lang_col)
+    refs = references(source, limits)
+    mark, salt, row = "__lang", "__salt", "__row"
+    lang = docs[lang_col].cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    marked = docs.withColumn(mark, lang)
+    unnamed = write_scratch(marked.filter(F.col(mark).isNull()).withColumn(row, F.monotonically_increasing_id()))
+    texts = unnamed.select(F.col(row).alias("row"), F.coalesce(unnamed[text_col].cast("string"), F.lit("")).alias("text"))
+    near = _nearest(texts, refs, limits).select(F.col("row").alias(row), F.col("lang").alias(mark))
+    named = unnamed.drop(mark).join(near, row, "left").drop(row)
+    both = marked.filter(F.col(mark).isNotNull()).unionByName(named)
+    # Small references are broadcast by the optimiser, others meet their documents by language and share.
+    both = both.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    shares = refs.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn(mark, F.col("ref_lang"))
+    return both.join(shares, [mark, salt], "left").select(*[F.col(f"`{c}`") for c in docs.columns], *REF)
+
+
+def _judge_batch(batch: pa.RecordBatch, texts: pa.Array, limits: Limits) -> list[tuple]:
+    """``judge`` with each language's reference read once a batch."""
+    langs = batch.column("ref_lang").to_pylist()
+    firsts = pa.array(sorted({lang: i for i, lang in enumerate(langs)}.values()), pa.int64())
+    known = _read_references([batch.column(c).take(firsts).to_pylist() for c in REF])
+    return judge(binary(texts), langs, known, limits)
+
+
 def places(common: list[bytes]) -> dict[bytes, int]:
     """Common word -> its place; the last place is the others'."""
     return {w: i for i, w in enumerate(common)}
@@ -236,7 +283,7 @@ def judge(texts: list[bytes], langs: list, known: dict, limits: Limits) -> list[
         n = len(words)
         counts = word_counts(text, words)
         bases.append((n, *counts, base_failed(n, counts[3])))
-        place, common, classes = known.get(lang) or known[None]
+        place, common, classes = known[lang]
         if len(text) >= limits.least_chars:
             by_class[i], class_refs[i] = class_histogram(text), classes
         if n >= limits.least_words:
@@ -269,16 +316,14 @@ def rate(
 ) -> DataFrame:
     """One row per row of ``docs``: the counts, the distances and the verdict.
 
-    A null text has no words and fails; a null, rare or missing language is compared with
-    all documents together; without any reference nothing is far. Repeated ids each get a
+    A null text has no words and fails; a text with a null or missing language is compared with
+    all references and takes the nearest; without any reference nothing is far. Repeated ids each get a
     row, an empty table gives none, other columns are not read.
     """
-    source = _source(docs, id_col, text_col, lang_col)
-    known = references(source, limits)
-    known = {k: (places(words), counts, classes) for k, (words, counts, classes) in known.items()}
+    source = with_references(_source(docs, id_col, text_col, lang_col), limits, "doc_id", "text", "lang")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = judge(binary(batch.column("text")), batch.column("lang").to_pylist(), known, limits)
+        rows = _judge_batch(batch, batch.column("text"), limits)
         columns = list(zip(*rows, strict=True))
         kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
         arrays = [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]]
@@ -288,13 +333,12 @@ def rate(
 
 
 def kept_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns; no join and no shuffle."""
-    known = references(_source(docs, "doc_id", "text", "lang"), limits)
-    known = {k: (places(words), counts, classes) for k, (words, counts, classes) in known.items()}
+    """The rows of ``docs`` that pass, with all their columns."""
+
+    names = docs.columns
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, langs = batch.column("text").fill_null(""), batch.column("lang").to_pylist()
-        keep = [row[6] for row in judge(binary(texts), langs, known, limits)]
-        return batch.filter(pa.array(keep, pa.bool_()))
+        keep = [row[6] for row in _judge_batch(batch, batch.column("text").fill_null(""), limits)]
+        return batch.select(names).filter(pa.array(keep, pa.bool_()))
 
-    return by_batch(docs, work, docs.schema)
+    return by_batch(with_references(docs, limits, "doc_id", "text", "lang"), work, docs.schema)
