@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from tillbook.llm import lm_score, quality_rules
+from tillbook.llm import lm_score, pseudonyms, quality_rules
 from tillbook.llm import mixing_model as model
 
 
@@ -110,3 +110,23 @@ def test_quality_judges_small_and_unnamed_languages(spark):
     # Languages past the 256th have a reference too.
     many = spark.createDataFrame([(i, t, f"l{i}") for i in range(300) for t in prose(f"l{i}", 1)], "doc_id long, text string, lang string")
     assert quality_rules.rate(many).filter("kept AND words_distance = 0").count() == 300
+
+
+def test_cards_are_told_by_their_check_digit(spark):
+    card, other = "4539148803436467", "4845168114407329"
+    clean = ["10 20 30 40 50 60 70", "2019 2020 2021 2022", "at 1700000000000 ms", "9807915762804490", "12345678901234567890123", "\ue000 x"]
+    texts = [card, other, f"{card} 123", f"{card} 12/27", f"2019 {card[:4]} {card[4:8]} {card[8:12]} {card[12:]}", f"{card} {other}", f"{card} 31/12/1999", "31/12/1999"]
+    texts += [f"{card} 319-555-5132", "319-555-5132", "account no: 9807915762804490", f"\ue000 {card}", f"mail {card}@x.com"]
+    frame = spark.createDataFrame(list(enumerate([*clean, *texts])), "doc_id long, text string")
+    new = {r["doc_id"]: r["text"] for r in pseudonyms.pseudonymise(frame, "k", count_as="n").collect()}
+    for i, text in enumerate(clean):
+        assert new[i] == text
+    got = dict(zip(texts, [new[i + len(clean)] for i in range(len(texts))], strict=True))
+    a, b, day, phone = got[card], got[other], got["31/12/1999"], got["319-555-5132"]
+    assert len({a, card, b, other}) == 4 and day != "31/12/1999" and phone != "319-555-5132"
+    assert got[texts[2]] == f"{a} 123" and got[texts[3]] == f"{a} 12/27"
+    assert got[texts[4]] == f"2019 {a[:4]} {a[4:8]} {a[8:12]} {a[12:]}"
+    assert got[texts[5]] == f"{a} {b}" and got[texts[6]] == f"{a} {day}" and got[texts[8]] == f"{a} {phone}"
+    named = got["account no: 9807915762804490"]
+    assert named.startswith("account no: ") and "9807915762804490" not in named
+    assert got[texts[11]] == f"\ue000 {a}" and card not in got[texts[12]] and "x.com" not in got[texts[12]]

@@ -6,8 +6,9 @@ halves live modulo a and modulo b. Being a permutation it never maps two values
 and being keyed by value alone it maps equal values alike in all documents, so records
 stay linked. Without the key the values cannot be recovered.
 
-* cards and account numbers (13 to 19 digits): all digits but the last are permuted; the
-  check digit moves along, so Luhn-valid numbers stay valid and others stay invalid
+* cards (13 to 19 digits whose check digit is right, in one group or up to five), and
+  account numbers named as such: all digits but the last are permuted; the check digit moves
+  along, so Luhn-valid numbers stay valid and others stay invalid
 * phone numbers: all digits, a country code before a space, dot or dash kept
 * social security numbers: within the valid ranges of area, group and serial
 * IPv4 addresses: within the 2**32 addresses
@@ -35,8 +36,17 @@ IPV4 = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9A-Za-z])"
 DATE = r"(?<![0-9A-Za-z.+-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])"
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 PHONE = r"(?<![0-9A-Za-z+])(?:\+?[0-9]{1,3}[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
-CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
-ANY = "|".join((EMAIL, IPV4, DATE, SSN, PHONE, CARD))
+# Groups of digits parted by single spaces or dashes, 13 digits or more; groups that a letter follows end it.
+GROUP = r"[0-9]{1,19}+(?![0-9A-Za-z])"
+RUN = rf"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){{12}}){GROUP}(?:[ -]{GROUP})*+"
+LABEL = r"(?<![A-Za-z])(?i:account|acct)(?i:[ .]{0,2}(?:number|no|num))?[ .:#=]{0,3}"
+ACCOUNT = rf"{LABEL}[0-9](?:[ -]?[0-9]){{12,18}}(?![0-9A-Za-z])"
+#: Stands for a value that is settled while the others are looked for; one in the text stands for itself.
+MARK = "\ue000"
+FIRST = "|".join((EMAIL, ACCOUNT, RUN, MARK))
+THEN = "|".join((IPV4, DATE, SSN, PHONE))
+#: The most groups in which a card is written.
+CARD_GROUPS = 5
 
 
 def _round(key: str, tweak: Column, at: int, value: Column) -> Column:
@@ -120,6 +130,63 @@ def _card(m: Column, key: str) -> Column:
     return _refill(m, _let(digits, new))
 
 
+def _is_card(groups: Column) -> Column:
+    """Groups of digits that make up a number of card length with the right check digit."""
+    digits = F.array_join(groups, "")
+    written = F.forall(F.slice(groups, F.lit(1), F.size(groups) - 1), lambda g: F.length(g) >= 3)
+    right = _luhn(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.substring(digits, -1, 1).cast("int")
+    return F.length(digits).between(13, 19) & written & right
+
+
+def _cards(m: Column, key: str) -> Column:
+    """A run of digits with its cards marked, and their pseudonyms: from the left, and of the
+    fewest groups. Other digits stay for the other rules."""
+    groups = F.regexp_extract_all(m, F.lit("[0-9]+"), F.lit(0))
+    gaps = F.concat(F.regexp_extract_all(m, F.lit("[ -]"), F.lit(0)), F.array(F.lit("")))
+
+    def walk(p: Column) -> Column:
+        g, gap = p["g"], p["s"]
+
+        def step(s: Column, i: Column) -> Column:
+            fits = F.filter(
+                F.sequence(F.lit(1), F.least(F.lit(CARD_GROUPS), F.size(g) - i + 1)), lambda n: _is_card(F.slice(g, i, n))
+            )
+
+            def put(n: Column) -> Column:
+                inner = F.concat(F.slice(gap, i, n - 1), F.array(F.lit("")))
+                card = F.array_join(F.zip_with(F.slice(g, i, n), inner, lambda a, b: F.concat(a, b)), "")
+                return F.struct(
+                    (i + n - 1).alias("done"),
+                    F.concat(s["text"], F.lit(MARK), F.element_at(gap, i + n - 1)).alias("text"),
+                    F.concat(s["values"], F.array(_card(card, key))).alias("values"),
+                )
+
+            keep = F.struct(i.alias("done"), F.concat(s["text"], F.element_at(g, i), F.element_at(gap, i)).alias("text"), s["values"].alias("values"))
+            found = _let(F.try_element_at(fits, F.lit(1)), lambda n: F.when(n.isNull(), keep).otherwise(put(n)))
+            return F.when(i <= s["done"], s).otherwise(found)
+
+        start = F.struct(F.lit(0).alias("done"), F.lit("").alias("text"), F.expr("CAST(array() AS array<string>)").alias("values"))
+        end = F.aggregate(F.sequence(F.lit(1), F.size(g)), start, step)
+        return _let(end, lambda e: F.struct(e["text"].alias("text"), e["values"].alias("values")))
+
+    return _let(F.struct(groups.alias("g"), gaps.alias("s")), walk)
+
+
+def _settled(m: Column, key: str) -> Column:
+    """What stands for a match of FIRST until the end, and the values behind its marks."""
+    label = F.regexp_extract(m, f"^{LABEL}", 0)
+    one = lambda before, value: F.struct(F.concat(before, F.lit(MARK)).alias("text"), F.array(value).alias("values"))
+    number = F.substring(m, F.length(label) + 1, F.length(m))
+    # A card within a named number is the same card elsewhere.
+    account = _let(_cards(number, key), lambda c: F.when(F.size(c["values"]) > 0, F.struct(F.concat(label, c["text"]).alias("text"), c["values"].alias("values"))).otherwise(one(label, _card(number, key))))
+    return (
+        F.when(m == MARK, one(F.lit(""), m))
+        .when(m.contains("@"), one(F.lit(""), _email(m, key)))
+        .when(m.rlike("^[A-Za-z]"), account)
+        .otherwise(_cards(m, key))
+    )
+
+
 def _phone(m: Column, key: str) -> Column:
     code = F.regexp_extract(m, r"^(\+?[0-9]{1,3}[ .-])(?=.*[0-9]{3}.*[0-9]{3})(?=(?:[^0-9]*[0-9]){10})", 1)
     return _let(
@@ -183,12 +250,10 @@ def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of one found value."""
     whole = lambda p: m.rlike(f"^(?:{p})$")
     other = (
-        F.when(m.contains("@"), _email(m, key))
-        .when(whole(IPV4), _ipv4(m, key))
+        F.when(whole(IPV4), _ipv4(m, key))
         .when(whole(DATE), _date(m, key))
         .when(whole(SSN), _ssn(m, key))
-        .when(whole(PHONE), _phone(m, key))
-        .otherwise(_card(m, key))
+        .otherwise(_phone(m, key))
     )
     return F.coalesce(other, m)
 
@@ -201,26 +266,37 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_as: st
     projection: nothing is shuffled, whatever the columns are called.
     """
     text = docs[text_col]
+    empty = F.expr("CAST(array() AS array<string>)")
     # Few texts hold a digit or an at sign next to another: the rest is not cut into pieces.
     likely = F.regexp_like(text, F.lit("[0-9][0-9 ()./-]{6}|@"))
-    found = F.when(likely, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.expr("CAST(array() AS array<string>)"))
-    names = {n: f"__{n}_of_{len(docs.columns)}" for n in ("found", "between", "new")}
-    stepped = docs.withColumn(names["found"], found)
-    stepped = stepped.withColumn(
-        names["between"], F.when(F.size(names["found"]) > 0, F.split(F.col(f"`{text_col}`"), ANY, -1))
-    )
-    # Each distinct value of a text is worked out once.
-    known = F.map_from_entries(
-        F.transform(F.array_distinct(F.col(names["found"])), lambda m: F.struct(m.alias("k"), pseudonym(m, key).alias("v")))
-    )
-    stepped = stepped.withColumn(names["new"], F.when(F.size(names["found"]) > 0, known))
-    pieces = F.zip_with(
-        names["between"],
-        F.concat(F.transform(names["found"], lambda m: F.element_at(F.col(names["new"]), m)), F.array(F.lit(""))),
-        lambda a, b: F.concat(a, b),
-    )
-    new_text = F.when(F.size(names["found"]) > 0, F.array_join(pieces, "")).otherwise(F.col(f"`{text_col}`"))
+    names = {n: f"__{n}_of_{len(docs.columns)}" for n in ("first", "between", "new", "text", "values", "found")}
+    col = {n: F.col(c) for n, c in names.items()}
+
+    def known(found: Column, work) -> Column:
+        # Each distinct value of a text is worked out once.
+        return F.map_from_entries(F.transform(F.array_distinct(found), lambda m: F.struct(m.alias("k"), work(m, key).alias("v"))))
+
+    def joined(between: Column, parts: Column) -> Column:
+        return F.array_join(F.zip_with(between, F.concat(parts, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+
+    def on(condition: Column, value: Column, otherwise: Column) -> Column:
+        return F.when(condition, value).otherwise(otherwise)
+
+    own = F.col(f"`{text_col}`")
+    stepped = docs.withColumn(names["first"], on(likely, F.regexp_extract_all(text, F.lit(FIRST), F.lit(0)), empty))
+    some = F.size(col["first"]) > 0
+    stepped = stepped.withColumn(names["between"], F.when(some, F.split(own, FIRST, -1))).withColumn(names["new"], F.when(some, known(col["first"], _settled)))
+    settled = lambda part: F.transform(col["first"], lambda m: F.element_at(col["new"], m)[part])
+    stepped = stepped.withColumn(names["text"], on(some, joined(col["between"], settled("text")), own))
+    stepped = stepped.withColumn(names["values"], on(some, F.flatten(settled("values")), empty))
+    stepped = stepped.withColumn(names["found"], on(likely, F.regexp_extract_all(col["text"], F.lit(THEN), F.lit(0)), empty))
+    more = F.size(col["found"]) > 0
+    stepped = stepped.withColumn(names["between"], F.when(more, F.split(col["text"], THEN, -1))).withColumn(names["new"], F.when(more, known(col["found"], pseudonym)))
+    stepped = stepped.withColumn(names["text"], on(more, joined(col["between"], F.transform(col["found"], lambda m: F.element_at(F.col(names["new"]), m))), col["text"]))
+    # The settled values take their places again.
+    new_text = on(F.size(col["values"]) > 0, joined(F.split(col["text"], MARK, -1), col["values"]), col["text"])
     out = [new_text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     if count_as:
-        out.append(F.coalesce(F.size(names["found"]), F.lit(0)).cast("bigint").alias(count_as))
+        values = F.size(F.filter(col["values"], lambda v: v != MARK)) + F.size(col["found"])
+        out.append(F.coalesce(values, F.lit(0)).cast("bigint").alias(count_as))
     return stepped.select(*out)
