@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from tillbook.llm import lm_score, pseudonyms, quality_rules
+from tillbook.llm import lm_score, nearest, pseudonyms, quality_rules
 from tillbook.llm import mixing_model as model
 
 
@@ -130,3 +130,23 @@ def test_cards_are_told_by_their_check_digit(spark):
     named = got["account no: 9807915762804490"]
     assert named.startswith("account no: ") and "9807915762804490" not in named
     assert got[texts[11]] == f"\ue000 {a}" and card not in got[texts[12]] and "x.com" not in got[texts[12]]
+
+
+def test_every_query_finds_k(spark):
+    def found(vectors, ids):
+        frame = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<double>")
+        return nearest.search(frame, nearest.F.col("vec_id") < 10).collect()
+
+    rng = np.random.default_rng(1)
+    # Few candidates: all of them, in the right order.
+    few = rng.normal(size=(6, 32))
+    unit = few / np.linalg.norm(few, axis=1, keepdims=True)
+    rows = found(few, range(6))
+    for q in range(6):
+        want = [i for i in np.argsort(-(unit @ unit[q]), kind="stable").tolist() if i != q]
+        assert [r["vec_id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == q] == want
+    # One vector opposite to all others, and an id that is repeated.
+    group = rng.normal(size=32) * 10 + rng.normal(size=(301, 32))
+    group[0] = -group[1:].mean(axis=0)
+    rows = found(np.concatenate((group, np.repeat(group[20:21], 9, 0))), [0, *range(20, 320), *[39] * 9])
+    assert sorted(r["rank"] for r in rows if r["query_id"] == 0) == [1, 2, 3, 4, 5]

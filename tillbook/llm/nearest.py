@@ -6,7 +6,8 @@ SUBSTRINGS; each is an index of its own. If two codes differ in at most
 SUBSTRINGS * (radius + 1) - 1 places, some substring differs in at most ``radius``, so
 probing every value within ``radius`` of a query's substrings retrieves every code
 within that Hamming distance (and many beyond). What is retrieved is reranked by the
-exact cosine of the original vectors.
+exact cosine of the original vectors. Queries that find fewer than they ask for search
+again, first without a limit of distance and then through all vectors.
 
 The index is cut into parts of about PART_ROWS vectors by the hash of their ids, so equal
 vectors spread evenly. Blocks of queries meet each part in one task, which returns only
@@ -75,6 +76,7 @@ class Part:
     def __init__(self, ids: np.ndarray, codes: np.ndarray, vectors: np.ndarray):
         self.ids, self.codes, self.vectors = ids, codes, vectors
         self.norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+        self.repeats = len(np.unique(ids)) < len(ids)
         values = _substrings(codes)
         self.order = [np.argsort(v, kind="stable") for v in values.T]
         # Where each value's rows start; one more entry than values.
@@ -91,14 +93,20 @@ class Part:
             held[order[runs]] = True
         return np.flatnonzero(held)
 
-    def best(self, query_id: int, code: np.uint64, vector: np.ndarray, masks: np.ndarray, k: int):
-        rows = self.retrieve(code, masks)
-        rows = rows[np.bitwise_count(self.codes[rows] ^ code) <= RERANK_DISTANCE]
+    def best(self, query_id: int, code: np.uint64, vector: np.ndarray, masks: np.ndarray | None, limit: int, k: int):
+        """The ``k`` nearest ids of those retrieved within ``limit``; without ``masks`` of all."""
+        rows = np.arange(len(self.ids)) if masks is None else self.retrieve(code, masks)
+        rows = rows[np.bitwise_count(self.codes[rows] ^ code) <= limit]
         rows = rows[self.ids[rows] != query_id]
         norm = np.sqrt(np.einsum("i,i->", vector, vector))
         scores = np.concatenate(
             [np.einsum("ij,j->i", self.vectors[r], vector) for r in np.array_split(rows, len(rows) // PAIRS + 1)]
         ) / (self.norms[rows] * norm)
+        if self.repeats:
+            # The best row of each id.
+            order = np.lexsort((-scores, self.ids[rows]))
+            order = order[np.unique(self.ids[rows][order], return_index=True)[1]]
+            rows, scores = rows[order], scores[order]
         if len(rows) > k:
             least = np.partition(scores, len(scores) - k)[len(scores) - k]
             rows, scores = rows[scores >= least], scores[scores >= least]
@@ -163,29 +171,41 @@ def search(
     parts = n // PART_ROWS + 1
     spread = F.xxhash64("vec_id", F.lit(1))
     index = write_scratch(_packed(vectors, F.pmod(spread, F.lit(parts)), rotation, dims, "part"))
-    queries = vectors.filter(is_query)
-    blocks = queries.count() // QUERY_ROWS + 1
-    asked = _packed(queries, F.pmod(spread, F.lit(blocks)), rotation, dims, "block")
-    asked = asked.select("block", *[F.col(c).alias(f"q_{c}") for c in ("ids", "codes", "vectors")])
-    # Each block of queries goes to each part of the index; neither is ever whole in a task.
-    met = asked.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part")).join(index, "part")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks = _masks(radius)
-        read = lambda v, kind: np.frombuffer(v, kind)
-        for batch in batches:
-            for row in batch.to_pylist():
-                part = Part(read(row["ids"], np.int64), read(row["codes"], np.uint64), read(row["vectors"], np.float64).reshape(-1, dims))
-                out = ([], [], [])
-                for q, c, v in zip(read(row["q_ids"], np.int64), read(row["q_codes"], np.uint64), read(row["q_vectors"], np.float64).reshape(-1, dims), strict=True):
-                    ids, scores = part.best(q, c, v, masks, k)
-                    for o, x in zip(out, ([q] * len(ids), ids.tolist(), scores.tolist()), strict=True):
-                        o += x
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
-
-    found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def nearest(queries: DataFrame, n_queries: int, masks: np.ndarray | None, limit: int) -> DataFrame:
+        asked = _packed(queries, F.pmod(spread, F.lit(n_queries // QUERY_ROWS + 1)), rotation, dims, "block")
+        asked = asked.select("block", *[F.col(c).alias(f"q_{c}") for c in ("ids", "codes", "vectors")])
+        # Each block of queries goes to each part of the index; neither is ever whole in a task.
+        met = asked.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part")).join(index, "part")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            read = lambda v, kind: np.frombuffer(v, kind)
+            for batch in batches:
+                for row in batch.to_pylist():
+                    part = Part(read(row["ids"], np.int64), read(row["codes"], np.uint64), read(row["vectors"], np.float64).reshape(-1, dims))
+                    out = ([], [], [])
+                    for q, c, v in zip(read(row["q_ids"], np.int64), read(row["q_codes"], np.uint64), read(row["q_vectors"], np.float64).reshape(-1, dims), strict=True):
+                        ids, scores = part.best(q, c, v, masks, limit, k)
+                        for o, x in zip(out, ([q] * len(ids), ids.tolist(), scores.tolist()), strict=True):
+                            o += x
+                    yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+
+        found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        return write_scratch(found)
+
+    queries = vectors.filter(is_query)
+    found = nearest(queries, queries.count(), _masks(radius), RERANK_DISTANCE)
+    # Most queries are done; the others look further, at last through all vectors.
+    for masks in (_masks(radius), None):
+        done = found.filter(F.col("rank") == k).select("query_id")
+        short = queries.join(done, F.col("vec_id") == F.col("query_id"), "left_anti")
+        n_short = short.count()
+        if not n_short:
+            break
+        found = found.join(done, "query_id", "left_semi").unionByName(nearest(short, n_short, masks, BITS))
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def digest(embeddings: DataFrame) -> DataFrame:
