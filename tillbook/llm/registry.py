@@ -12,19 +12,23 @@ from tillbook.llm import (
     byte_bpe,
     license_scan,
     lm_score,
+    manifest,
     near_dup,
     nearest,
+    piece_encoding,
     pseudonyms,
     quality_rules,
     repeats,
     secret_scan,
     source_mix,
+    turn_repair,
 )
 
 #: For the registered queries only: a real key belongs in the session's settings.
 DEMO_KEY = "not a secret: for the registered queries"
 KEY_SETTING = "spark.tillbook.pseudonym.key"
 RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,13 +80,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(documents(spark, sf_dir))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encoding.digest(documents(spark, sf_dir), public_tokenizers.path(PIECES))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.digest(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.digest(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # At the repository top, beside the entry file.
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_nearest, op2_repeats, op3_secrets, op4_source_mix, op5_licenses, op6_byte_bpe, op7_lm_score, op8_pseudonyms, op9_near_dup, op10_quality, pipeline)
+    found = (op1_nearest, op2_repeats, op3_secrets, op4_source_mix, op5_licenses, op6_byte_bpe, op7_lm_score, op8_pseudonyms, op9_near_dup, op10_quality, op11_sentencepiece, op12_turn_repair, op13_manifest, pipeline)
     return {f.__name__: f for f in found}
 
 
