@@ -45,6 +45,33 @@ def parse_date(c: Column, formats: Sequence[str]) -> Column:
     return F.coalesce(*[_parse_one(c, f) for f in formats])
 
 
+def slashed(formats: Sequence[str]) -> list[str]:
+    """Those of the formats that read the same text as day and month in some order."""
+    return [f for f in formats if _SHAPES.get(f, ("",))[0] == _SLASHED]
+
+
+def other_reading(c: Column, formats: Sequence[str]) -> Column:
+    """What a slashed date is under the other declared order, where that is another day.
+
+    Null where the text has one reading only, or where a single order is declared. Whether a
+    text can be read at all does not depend on the order.
+    """
+    orders = slashed(formats)
+    if len(orders) < 2:
+        return F.lit(None).cast("date")
+    first, second = _parse_one(c, orders[0]), _parse_one(c, orders[1])
+    return F.when(first != second, second)
+
+
+def only_as(c: Column, fmt: str, formats: Sequence[str]) -> Column:
+    """Whether of the slashed formats this one alone reads the text."""
+    others = [_parse_one(c, f).isNull() for f in slashed(formats) if f != fmt]
+    alone = _parse_one(c, fmt).isNotNull()
+    for unread in others:
+        alone = alone & unread
+    return alone
+
+
 def parse_order_date(c: Column, formats: Sequence[str] = tuple(ORDER_DATE_FORMATS)) -> Column:
     """Day first."""
     return parse_date(c, formats)

@@ -3,6 +3,8 @@
     spark-submit tillbook/jobs.py generate --start 2025-01-01 --end 2026-04-14 --orders 300 --out DIR
     spark-submit tillbook/jobs.py load --warehouse DIR --orders-2023 A.csv --orders-2025 B.csv ...
     spark-submit tillbook/jobs.py marts --share 0.40
+    spark-submit tillbook/jobs.py expire --warehouse DIR --keep 3 --older-than-hours 24
+    spark-submit tillbook/jobs.py restore --warehouse DIR --number 7
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from tillbook.session import SETTINGS  # noqa: E402
 from tillbook.plans import ingest, synthetic  # noqa: E402
-from tillbook.sources import tables  # noqa: E402
+from tillbook.sources import tables, versions  # noqa: E402
 from tillbook.sources.scratch import clear_scratch  # noqa: E402
 
 
@@ -40,6 +42,14 @@ def _parser() -> argparse.ArgumentParser:
         "--multiline", action="append", default=[], choices=[f.name for f in fields(ingest.FeedPaths)],
         help="a feed whose cells hold line breaks; may be given several times",
     )
+    load.add_argument("--max-rejects", type=int, default=0, help="lines that may be broken without failing the load")
+    expire = commands.add_parser("expire", help="delete files of former loads that no kept manifest names")
+    expire.add_argument("--warehouse", required=True)
+    expire.add_argument("--keep", type=int, default=3, help="newest manifests that stay")
+    expire.add_argument("--older-than-hours", type=float, default=24.0)
+    restore = commands.add_parser("restore", help="make an earlier load's files the tables again")
+    restore.add_argument("--warehouse", required=True)
+    restore.add_argument("--number", type=int, required=True)
     for feed in fields(ingest.FeedPaths):
         load.add_argument("--" + feed.name.replace("_", "-"), required=True)
     return parser
@@ -56,8 +66,9 @@ def _generate(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _load(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = ingest.FeedPaths(**{f.name: getattr(args, f.name) for f in fields(ingest.FeedPaths)})
-    for summary in ingest.load(spark, paths, args.warehouse, args.multiline).values():
-        summary.show(truncate=False)
+    for title, frame in ingest.load(spark, paths, args.warehouse, args.multiline, args.max_rejects).items():
+        print(title)
+        frame.show(truncate=False)
     ingest.stage(spark)
 
 
@@ -72,6 +83,11 @@ def run(spark: SparkSession, argv: list[str]) -> None:
             _generate(spark, args)
         elif args.command == "marts":
             ingest.build_marts(spark, args.share)
+        elif args.command == "expire":
+            for gone in versions.expire(spark, args.warehouse, args.keep, args.older_than_hours):
+                print(gone)
+        elif args.command == "restore":
+            versions.restore(spark, args.warehouse, args.number)
         else:
             _load(spark, args)
     finally:

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillbook.operators import quality
+from tillbook.operators.observed import Figures, prices, spread
 from tillbook.operators.quantiles import describe_ints
 
 
 def price_columns(df: DataFrame) -> list[str]:
-    """Columns named like a price: ``price`` as written, ``harga`` in any case."""
-    return [c for c in df.columns if "price" in c or "harga" in c.lower()]
+    return prices(df.columns)
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -85,3 +87,41 @@ def source_summary(df: DataFrame, date_column: str) -> DataFrame:
         )
         .orderBy("data_source")
     )
+
+
+# --- the same from figures that were gathered while the frame was written -----------
+
+
+def observed_checks(parts: Iterable[Figures], rules: Sequence[quality.Check]) -> list[dict]:
+    parts = list(parts)
+    rows = sum(p.rows for p in parts)
+    return [quality.outcome(name, sum(p.failing[name] for p in parts), rows, limit) for name, _, limit in rules]
+
+
+def observed(spark: SparkSession, name: str, parts: Mapping[str, Figures], schema: str, checks: list[dict]) -> dict[str, DataFrame]:
+    """Summary per source, shape, nulls, prices and checks of one table, from its feeds' figures."""
+    fields = T.StructType.fromDDL(schema).fields
+    rows = sum(p.rows for p in parts.values())
+    summary = [
+        (label, p.rows, p.earliest, p.latest, spread([p], "total_price")[1]) for label, p in sorted(parts.items()) if p.rows
+    ]
+    frames = {
+        "": (summary, "data_source string, row_count bigint, earliest date, latest date, avg_total_price double"),
+        "_shape": (
+            [(i, f.name, f.dataType.simpleString(), rows) for i, f in enumerate(fields)],
+            "position int, column_name string, data_type string, row_count bigint",
+        ),
+        "_nulls": (
+            [(f.name, sum(p.nulls[f.name] for p in parts.values())) for f in fields],
+            "column_name string, null_count bigint",
+        ),
+        "_prices": (
+            [(c, *spread(parts.values(), c)) for c in prices(f.name for f in fields)],
+            "column_name string, count bigint, mean double, std double, min int, max int",
+        ),
+        "_checks": (
+            [(c["check_name"], c["failing"], c["rate"], c["passed"]) for c in checks],
+            "check_name string, failing bigint, rate double, passed boolean",
+        ),
+    }
+    return {name + part: spark.createDataFrame(found, ddl) for part, (found, ddl) in frames.items()}

@@ -17,11 +17,6 @@ class DataQualityError(ValueError):
     """The first failed check, in the order the checks are listed."""
 
 
-def null_rate(c: Column) -> Column:
-    """Share of nulls; null for an empty frame, which then passes any limit."""
-    return F.avg(c.isNull().cast("int"))
-
-
 def _rows(df: DataFrame, checks: Sequence[tuple[str, Column, Column | None, Column | None]]) -> DataFrame:
     """Evaluate (name, failing, rate, passed) aggregates in one pass, one row each."""
     metrics, structs = [], []
@@ -45,34 +40,57 @@ def _count(name: str, condition: Column):
     return (name, F.count_if(condition), None, None)
 
 
-def _rate(name: str, column: str, limit: float = V.MAX_NULL_RATE):
-    c = F.col(column)
+def _rate(name: str, failing: Column, limit: float):
+    """Share of failing rows; null for an empty frame, which passes any limit."""
     within = lambda rate: F.coalesce(rate <= limit, F.lit(True))
-    return (name, F.count_if(c.isNull()), null_rate(c), within)
+    return (name, F.count_if(failing), F.avg(failing.cast("int")), within)
 
 
-def order_checks(orders: DataFrame) -> DataFrame:
+#: Per check: its name, which rows fail it, and the share of failing rows that still passes
+#: (None: no row may fail).
+Check = tuple[str, Column, float | None]
+
+
+def order_rules() -> list[Check]:
     """Unparseable dates, negative totals, worker null rate."""
-    return _rows(
-        orders,
-        [
-            _count("order_date_unparseable", F.col("order_date").isNull()),
-            _count("total_price_negative", F.col("total_price") < 0),
-            _rate("worker_null_rate", "worker"),
-        ],
-    )
+    return [
+        ("order_date_unparseable", F.col("order_date").isNull(), None),
+        ("total_price_negative", F.col("total_price") < 0, None),
+        ("worker_null_rate", F.col("worker").isNull(), V.MAX_NULL_RATE),
+    ]
 
 
-def expense_checks(expenses: DataFrame) -> DataFrame:
+def expense_rules() -> list[Check]:
     """Negative quantities and totals, item name null rate."""
-    return _rows(
-        expenses,
-        [
-            _count("quantity_negative", F.col("quantity") < 0),
-            _count("total_price_negative", F.col("total_price") < 0),
-            _rate("item_name_null_rate", "item_name"),
-        ],
-    )
+    return [
+        ("quantity_negative", F.col("quantity") < 0, None),
+        ("total_price_negative", F.col("total_price") < 0, None),
+        ("item_name_null_rate", F.col("item_name").isNull(), V.MAX_NULL_RATE),
+    ]
+
+
+def _checked(df: DataFrame, rules: Sequence[Check]) -> DataFrame:
+    return _rows(df, [_count(n, failing) if limit is None else _rate(n, failing, limit) for n, failing, limit in rules])
+
+
+def order_checks(orders: DataFrame) -> DataFrame:
+    return _checked(orders, order_rules())
+
+
+def expense_checks(expenses: DataFrame) -> DataFrame:
+    return _checked(expenses, expense_rules())
+
+
+def outcome(name: str, failing: int, rows: int, limit: float | None) -> dict:
+    """One check's row, from counts that are already known."""
+    rate = None if limit is None or not rows else failing / rows
+    passed = failing == 0 if limit is None else rate is None or rate <= limit
+    return {"check_name": name, "failing": failing, "rate": rate, "passed": passed}
+
+
+def failure(check: dict) -> DataQualityError:
+    detail = f"{check['failing']} rows" if check["rate"] is None else f"rate {check['rate']:.2%}"
+    return DataQualityError(f"{check['check_name']} failed: {detail}")
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> None:
@@ -103,9 +121,7 @@ def enforce(checks: DataFrame) -> None:
     """Raise on the first failed check. Reads one row per check."""
     failed = checks.filter(~F.col("passed")).orderBy("position").take(1)
     if failed:
-        row = failed[0]
-        detail = f"{row['failing']} rows" if row["rate"] is None else f"rate {row['rate']:.2%}"
-        raise DataQualityError(f"{row['check_name']} failed: {detail}")
+        raise failure(failed[0].asDict())
 
 
 def validate_orders(orders: DataFrame) -> None:

@@ -6,7 +6,7 @@ feeds are machine-written: plain numbers and ISO dates.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from tillbook.functions.numbers import (
     rupiah_to_int,
 )
 from tillbook.operators.columns import project, rename, with_lineage
+from tillbook.sources.feeds import REJECT_COLUMNS
 
 ORDER_AMOUNTS = ["price", "discount", "total_price"]
 EXPENSE_AMOUNTS = ["unit_price", "total_price"]
@@ -69,9 +70,20 @@ def normalize_orders(
     return out.withColumns(typed)
 
 
+#: Columns a load adds to a feed before typing it; they pass through where a feed has them.
+OTHER_READING = "other_reading"
+CARRIED = [OTHER_READING, *REJECT_COLUMNS]
+
+
+def _own(feed: DataFrame, headers: Mapping[str, str]) -> DataFrame:
+    """Only the ledger's own columns, and those that the load added."""
+    added = [c for c in CARRIED if c in feed.columns]
+    return project(rename(feed, headers), [*headers.values(), *added])
+
+
 def normalize_orders_real(feed: DataFrame, data_source: str, **options) -> DataFrame:
     """Only the ledger's own columns; an absent one is an error."""
-    narrow = project(rename(feed, V.ORDER_HEADERS), list(V.ORDER_HEADERS.values()))
+    narrow = _own(feed, V.ORDER_HEADERS)
     return normalize_orders(narrow, data_source, False, **options)
 
 
@@ -117,7 +129,7 @@ def normalize_expenses(
 
 
 def normalize_expenses_real(feed: DataFrame, data_source: str, **options) -> DataFrame:
-    narrow = project(rename(feed, V.EXPENSE_HEADERS), list(V.EXPENSE_HEADERS.values()))
+    narrow = _own(feed, V.EXPENSE_HEADERS)
     return normalize_expenses(narrow, data_source, False, **options)
 
 

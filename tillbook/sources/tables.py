@@ -48,12 +48,6 @@ def save_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def publish(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Point a table name at finished files, replacing what it pointed at before."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return spark.catalog.createTable(name, path=path, source="parquet")
-
-
 def save_csv(df: DataFrame, path: str) -> None:
     """Headed CSV without an index column, one file per task."""
     df.write.mode("overwrite").option("header", True).option("quote", '"').option(
