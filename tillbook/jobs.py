@@ -3,6 +3,8 @@
     spark-submit tillbook/jobs.py generate --start 2025-01-01 --end 2026-04-14 --orders 300 --out DIR
     spark-submit tillbook/jobs.py load --warehouse DIR --orders-2023 A.csv --orders-2025 B.csv ...
     spark-submit tillbook/jobs.py marts --share 0.40
+    spark-submit tillbook/jobs.py refresh --warehouse DIR --share 0.40 --since 6
+    spark-submit tillbook/jobs.py ids --warehouse DIR
     spark-submit tillbook/jobs.py expire --warehouse DIR --keep 3 --older-than-hours 24
     spark-submit tillbook/jobs.py restore --warehouse DIR --number 7
 """
@@ -20,7 +22,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tillbook.session import SETTINGS  # noqa: E402
-from tillbook.plans import ingest, synthetic  # noqa: E402
+from tillbook.plans import ingest, refresh, synthetic  # noqa: E402
 from tillbook.sources import tables, versions  # noqa: E402
 from tillbook.sources.scratch import clear_scratch  # noqa: E402
 
@@ -43,6 +45,12 @@ def _parser() -> argparse.ArgumentParser:
         help="a feed whose cells hold line breaks; may be given several times",
     )
     load.add_argument("--max-rejects", type=int, default=0, help="lines that may be broken without failing the load")
+    refresh = commands.add_parser("refresh", help="write the periods of the marts that loads have touched")
+    refresh.add_argument("--warehouse", required=True)
+    refresh.add_argument("--share", required=True)
+    refresh.add_argument("--since", type=int, help="manifest that the marts were last built from")
+    ids = commands.add_parser("ids", help="give orders ids that stay")
+    ids.add_argument("--warehouse", required=True)
     expire = commands.add_parser("expire", help="delete files of former loads that no kept manifest names")
     expire.add_argument("--warehouse", required=True)
     expire.add_argument("--keep", type=int, default=3, help="newest manifests that stay")
@@ -83,6 +91,10 @@ def run(spark: SparkSession, argv: list[str]) -> None:
             _generate(spark, args)
         elif args.command == "marts":
             ingest.build_marts(spark, args.share)
+        elif args.command == "refresh":
+            print(refresh.refresh_marts(spark, args.warehouse, args.share, args.since))
+        elif args.command == "ids":
+            print(refresh.assign_order_ids(spark, args.warehouse))
         elif args.command == "expire":
             for gone in versions.expire(spark, args.warehouse, args.keep, args.older_than_hours):
                 print(gone)

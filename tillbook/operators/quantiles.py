@@ -1,17 +1,21 @@
-"""Exact descriptive statistics of integer columns in bounded memory.
+"""Exact descriptive statistics of number columns in bounded memory.
 
 The built-in exact percentile keeps every distinct value of a column in one task.
-Here values are first counted by their high half: at most 65,536 rows per column,
+Here 32-bit values are first counted by their high half: at most 65,536 rows per column,
 enough to find which halves hold the wanted ranks. Only those are then counted
-value by value, again at most 65,536 rows each.
+value by value, again at most 65,536 rows each. Other numbers get a 64-bit image that
+sorts as they do, and are refined alike, 16 bits a pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillbook.sources.scratch import write_scratch
 
@@ -121,3 +125,101 @@ def _interpolated(q: str):
     high = F.max(F.when(mine, F.col("v")))
     at = F.max(F.when(mine, F.col("at")))
     return low + (at - F.floor(at)) * (high - low)
+
+
+#: Bits that a pass settles, and passes over an image.
+DIGIT, PASSES = 16, 4
+_LEAST = -(1 << 63)
+
+
+def _image(c: Column, kind: T.DataType) -> Column:
+    """A long whose unsigned order is the numbers' order; null for null and NaN."""
+    if isinstance(kind, T.IntegralType):
+        return c.cast("bigint").bitwiseXOR(F.lit(_LEAST))
+    if isinstance(kind, T.DecimalType):
+        if kind.precision > 18:
+            raise TypeError(f"decimals of up to 18 digits expected, got {kind.simpleString()}")
+        return (c * F.lit(Decimal(10) ** kind.scale)).cast("bigint").bitwiseXOR(F.lit(_LEAST))
+    if isinstance(kind, T.FractionalType):
+        # Adding zero makes one zero of the two.
+        number = F.nanvl(c.cast("double"), F.lit(None).cast("double")) + F.lit(0.0)
+        bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.coalesce(number, F.lit(0.0))).cast("bigint")
+        return F.when(number.isNotNull(), F.when(bits < 0, F.bitwise_not(bits)).otherwise(bits.bitwiseXOR(F.lit(_LEAST))))
+    raise TypeError(f"a number expected, got {kind.simpleString()}")
+
+
+def describe_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column: count, mean, std, min, quartiles, max, all but the count as doubles.
+
+    Columns may be integers of any width, decimals of up to 18 digits, floats or doubles; nulls
+    and NaN are ignored. Quartiles are those of the exact values in rank, interpolated linearly
+    between neighbours. The images are written to the shared scratch folder once and counted
+    four times; each pass brings at most six rows per column to the driver.
+    """
+    schema = df.schema
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), _image(F.col(c), schema[c].dataType).alias("i"), F.col(c).cast("double").alias("v"))
+        for c in columns
+    ]
+    if not cells:
+        raise ValueError("no columns to describe")
+    images = write_scratch(df.select(F.inline(F.array(*cells))).filter(F.col("i").isNotNull()))
+    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(columns)], "position int, column_name string")
+    moments = names.join(
+        images.groupBy("column_name").agg(
+            F.count("*").alias("count"),
+            F.avg("v").alias("mean"),
+            F.stddev_samp("v").alias("std"),
+            F.min("v").alias("min"),
+            F.max("v").alias("max"),
+        ),
+        "column_name",
+        "left",
+    ).withColumn("count", F.coalesce("count", F.lit(0)))
+    figures = {r["column_name"]: r for r in moments.collect()}
+
+    # Ranks still to be found: (column, bits settled, rank among the values with these bits, rank).
+    open_ranks = []
+    for c, r in figures.items():
+        at = [share * (r["count"] - 1) for share in QUARTILES.values()]
+        ranks = {k for x in at for k in (int(x), int(x) + (x > int(x)))} if r["count"] else ()
+        open_ranks += [(c, 0, k, k) for k in sorted(ranks)]
+    for k in range(PASSES):
+        open_ranks = _refined(images, open_ranks, k)
+    found = {(r[0], r[3]): r[4] for r in open_ranks}
+    rows = []
+    for c in columns:
+        r = figures[c]
+        quartiles = [_between(found, c, share * (r["count"] - 1)) if r["count"] else None for share in QUARTILES.values()]
+        rows.append((c, r["count"], r["mean"], r["std"], r["min"], *quartiles, r["max"]))
+    ddl = ", ".join(f"{name} double" for name in ("mean", "std", "min", *QUARTILES, "max"))
+    return df.sparkSession.createDataFrame(rows, f"column_name string, count bigint, {ddl}")
+
+
+def _between(found: dict, column: str, at: float) -> float:
+    low = found[column, int(at)]
+    high = found[column, int(at) + (at > int(at))]
+    return low if low == high else low + (at - int(at)) * (high - low)
+
+
+def _refined(images: DataFrame, open_ranks: list[tuple], k: int) -> list[tuple]:
+    """Settle 16 more bits of each open rank's image; with the last, the value is known."""
+    if not open_ranks:
+        return []
+    spark = images.sparkSession
+    wanted = spark.createDataFrame([r[:4] for r in open_ranks], "column_name string, bits bigint, rank bigint, whole bigint")
+    settled = F.shiftrightunsigned("i", 64 - DIGIT * k) if k else F.lit(0).cast("bigint")
+    digit = F.shiftrightunsigned("i", 64 - DIGIT * (k + 1)).bitwiseAND((1 << DIGIT) - 1)
+    # Broadcast bound: six rows per column.
+    near = images.select("column_name", settled.alias("bits"), digit.alias("digit"), "v").join(
+        F.broadcast(wanted.select("column_name", "bits").distinct()), ["column_name", "bits"]
+    )
+    counted = near.groupBy("column_name", "bits", "digit").agg(F.count("*").alias("n"), F.min("v").alias("v"))
+    # At most 65,536 rows for each open image.
+    before = Window.partitionBy("column_name", "bits").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    hit = placed.join(F.broadcast(wanted), ["column_name", "bits"]).filter(
+        (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n"))
+    )
+    more = (F.shiftleft("bits", DIGIT) + F.col("digit")).alias("bits")
+    return [tuple(r) for r in hit.select("column_name", more, (F.col("rank") - F.col("first")).alias("rank"), "whole", "v").collect()]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tillbook import fixed_values as V
 from tillbook.functions.text import folded
 from tillbook.operators.numbering import number_within
+from tillbook.sources.scratch import write_scratch
 
 # What settles the order of a customer's orders on one day; all remaining columns follow,
 # so only rows that are alike in everything are interchangeable.
@@ -60,28 +61,71 @@ def fct_orders(staged: DataFrame, tie_break: Sequence[str] = tuple(TIE_BREAK)) -
     )
 
 
+def order_id(copy: Column, width: int = 4) -> Column:
+    """Year and padded number, ``_n`` from the second copy of a number on."""
+    number = F.abs("order_no").cast("string")
+    sign = F.when(F.col("order_no") < 0, F.lit("-")).otherwise(F.lit(""))
+    padded = F.concat(sign, F.lpad(number, F.greatest(F.lit(width), F.length(number)), F.lit("0")))
+    missing = F.lit(MISSING_PART)
+    return F.concat_ws(
+        "_",
+        F.coalesce(F.col("year").cast("string"), missing),
+        F.coalesce(padded, missing),
+        F.when(copy > 1, copy.cast("string")),
+    )
+
+
+def _copies_order(staged: DataFrame) -> list[Column]:
+    tie = [c for c in TIE_BREAK if c != "order_no"]
+    return _total_order(staged, ["order_date", "customer_name_clean", *tie])
+
+
 def order_surrogate_key(staged: DataFrame, width: int = 4) -> DataFrame:
     """``source_year`` and ``order_id``: year and padded number, ``_n`` on repeats.
 
     Numbers longer than the pad width are kept whole, a sign stands before the padding,
-    and a missing part reads ``none``: no two rows share an id.
+    and a missing part reads ``none``: no two rows share an id. Ids follow all rows, so a
+    late row can move them; ``stable_order_ids`` keeps those once given.
     """
-    tie = [c for c in TIE_BREAK if c != "order_no"]
-    order = _total_order(staged, ["order_date", "customer_name_clean", *tie])
-    with_copy = number_within(staged, ["year", "order_no"], order, "__copy")
-    number = F.abs("order_no").cast("string")
-    sign = F.when(F.col("order_no") < 0, F.lit("-")).otherwise(F.lit(""))
-    padded = F.concat(sign, F.lpad(number, F.greatest(F.lit(width), F.length(number)), F.lit("0")))
-    missing = F.lit(MISSING_PART)
-    suffix = F.when(F.col("__copy") > 1, F.col("__copy").cast("string"))
-    return with_copy.withColumns(
-        {
-            "source_year": F.col("year"),
-            "order_id": F.concat_ws(
-                "_", F.coalesce(F.col("year").cast("string"), missing), F.coalesce(padded, missing), suffix
-            ),
-        }
-    ).drop("__copy")
+    with_copy = number_within(staged, ["year", "order_no"], _copies_order(staged), "__copy")
+    return with_copy.withColumns({"source_year": F.col("year"), "order_id": order_id(F.col("__copy"), width)}).drop("__copy")
+
+
+#: What makes an order the same order in a later load: who brought what, when, at which price.
+#: Notes and payment status may change without a new id.
+IDENTITY = ["order_date", "customer_name_clean", *TIE_BREAK]
+
+#: Ids given so far: the order by content, which of its exact copies, and its place among the
+#: orders of its year and number.
+ORDER_IDS_SCHEMA = "content string, twin bigint, year int, order_no bigint, copy bigint"
+_ORDER_IDS = ["content", "twin", "year", "order_no", "copy"]
+
+
+def stable_order_ids(staged: DataFrame, known: DataFrame | None, width: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Orders with ids that stay, and the ids given so far, to be stored for the next load.
+
+    ``known`` is what the previous call returned as its second frame, None at first. Orders
+    it has (alike in ``IDENTITY``) keep their id; new ones take the copies behind the greatest
+    given for their year and number, in the order of ``order_surrogate_key``. Ids of
+    orders that have gone are not given again. Orders alike in ``IDENTITY`` are twins:
+    which twin has which id is settled by their other columns and may change with them.
+    """
+    content = F.sha2(F.to_json(F.struct(*IDENTITY), {"ignoreNullFields": "false"}), 256)
+    keyed = staged.withColumn("__content", content)
+    twins = write_scratch(number_within(keyed, ["__content"], _total_order(keyed, ["__content"]), "__twin"))
+    order = [F.asc_nulls_last("__given"), *_copies_order(staged)]
+    named = twins.withColumnsRenamed({"__content": "content", "__twin": "twin"})
+    if known is None:
+        known = staged.sparkSession.createDataFrame([], ORDER_IDS_SCHEMA)
+    fresh = named.join(known.select("content", "twin"), ["content", "twin"], "left_anti")
+    given = known.withColumnRenamed("copy", "__given")
+    # Orders with an id come first, in its order, and so take the same place again.
+    both = given.unionByName(fresh.select("content", "twin", *staged.columns), allowMissingColumns=True)
+    ids = write_scratch(number_within(both, ["year", "order_no"], order, "copy").select(*_ORDER_IDS))
+    # A row on each side for each (content, twin): no key is hot.
+    joined = named.join(ids.select("content", "twin", "copy"), ["content", "twin"])
+    with_ids = joined.withColumns({"source_year": F.col("year"), "order_id": order_id(F.col("copy"), width)})
+    return with_ids.select(*staged.columns, "source_year", "order_id"), ids
 
 
 # --- monthly facts ----------------------------------------------------------
