@@ -21,6 +21,7 @@ from tillbook.llm import (
     repeats,
     secret_scan,
     source_mix,
+    sql,
     turn_repair,
 )
 
@@ -103,4 +104,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_turn_repair": sql.turn_repair_sql(), "op13_manifest": sql.manifest_sql()}
