@@ -206,3 +206,25 @@ def test_shoe_brand(spark):
 )
 def test_discount_type(spark, amount, label):
     assert apply(spark, [amount], rules.discount_type, "int") == [label]
+
+
+def test_checklist_rules(spark):
+    check(
+        spark,
+        [
+            ("tf BCA", "Transfer"), ("BLU", "Transfer"), ("bayar cash ", "Cash"), ("", "Unknown"), (None, "Unknown"), ("bca", "Unknown"),
+        ],
+        rules.checklist_payment_method,
+    )
+    check(
+        spark,
+        [
+            (" Tas besar", "Bag"), ("KARPET", "Carpet"), ("sendal", "Sandal"), ("Reparasi lem", "Other"), ("  ", "Other"), (None, "Other"),
+            ("Nike AJ1", "Shoe"), ("gatau", "Shoe"),
+        ],
+        rules.checklist_item_type,
+    )
+    rows = [("Deep Clean", "Tas"), (" reparasi", "NB"), ("?", "Karpet"), (None, "sendal x"), (None, None), ("Cuci", "NB"), ("FAST", None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, service string, shoe string")
+    got = [r[0] for r in df.orderBy("i").select(rules.service_category(F.col("service"), F.col("shoe"))).collect()]
+    assert got == ["Deep Clean", "Reparasi", "Karpet", "Sendal", None, None, "Fast Clean"]

@@ -176,3 +176,42 @@ def test_ids_are_published_and_gone_on_from(spark, paths, tmp_path):  # noqa: F8
     assert first < {i for _, i in ids} and ("Early", "2024_0001_2") in ids and ("A", "2024_0001") in ids
     assert set(versions.manifest(spark, warehouse)["tables"]) == {"raw_orders", "raw_expenses", "load_rejects", "order_ids", "orders_with_ids"}
     assert spark.table("raw_orders").columns == [f.split()[0] for f in V.RAW_ORDERS_SCHEMA.split(", ")]
+
+
+# --- the checklist's findings -----------------------------------------------------
+
+
+def test_findings(spark):
+    d = dt.date
+    rows = [
+        (1, d(2023, 6, 1), "A", 50000, 10000), (2, d(2023, 6, 2), "A", 50000, 10000), (3, d(2023, 7, 1), "A", 50000, 8000),
+        (4, d(2023, 8, 1), "A", 50000, 8000), (5, d(2023, 8, 2), "B", 50000, 5000), (6, d(2023, 8, 3), "B", 50000, 5000),
+        (7, d(2023, 8, 4), "B", 50000, None), (8, None, "C", 50000, 7000), (9, None, "C", 50000, 10000),
+    ]
+    frame = orders_frame(spark, rows)
+    fct = marts.fct_orders(frame)
+    assert {r["order_no"] for r in marts.unearned_loyalty(fct).collect()} == {1}
+    audit = {r["year"]: r[1:] for r in marts.loyalty_audit(fct).collect()}
+    assert audit == {2023: (1, 2, 1), None: (1, 0, 0)}
+    assert sorted((tuple(r) for r in marts.confined_discounts(frame).collect()), reverse=True) == [(10000, 2023, 6, 2), (5000, 2023, 8, 2)]
+    bags = frame.withColumn("service_type", F.when(F.col("order_no") < 3, "Deep Clean").when(F.col("order_no") < 5, " TAS ").otherwise("?"))
+    bags = bags.withColumn("price", F.when(F.col("order_no") < 3, 50000).otherwise(80000)).withColumn("shoe_type", F.lit("vans"))
+    got = {r["service_category"]: (r["orders"], r["avg_price"], r["is_above"]) for r in marts.services_above(bags).collect()}
+    assert got == {"Deep Clean": (2, 50000.0, False), "Tas": (2, 80000.0, True), None: (5, 80000.0, True)}
+
+
+def test_numbering_moves_rows_once(spark):
+    from tillbook.operators.numbering import number_within
+
+    rows = [(None if i % 3 else "hot", i % 7, f"t{i}") for i in range(5000)]
+    frame = spark.createDataFrame(rows, "k string, v int, t string")
+    numbered = number_within(frame, ["k"], [F.col("v"), F.col("t")], "n")
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "__range" in line]
+    assert not wide and "Bucketed: true" in plan
+    want = {}
+    for key in (None, "hot"):
+        for n, r in enumerate(sorted((r for r in rows if r[0] == key), key=lambda r: r[1:]), 1):
+            want[r] = n
+    assert {tuple(r)[:3]: r["n"] for r in numbered.collect()} == want
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("scratch_")]

@@ -741,6 +741,103 @@ revenue_month AS (""", 1), "SELECT * FROM profit")
         "('New Balance', 'Suede', 'High')) AS m(b, mat, cx) ON b = shoe_brand_clean"
     )
 
+    # feeds read from files, date votes, ids that stay, touched periods
+    q["csv_rejects"] = """
+SELECT CASE WHEN k % 97 NOT IN (5, 6) THEN CAST(k AS VARCHAR) END AS order_no,
+  CASE WHEN k % 97 NOT IN (5, 6) THEN day END AS date_text,
+  CASE WHEN k % 97 NOT IN (5, 6) THEN buyer END AS customer,
+  CASE k % 97 WHEN 5 THEN k || ',' || day WHEN 6 THEN k || ',' || day || ',' || buyer || ',extra' END AS reject_line,
+  k % 97 IN (5, 6) AS is_rejected
+FROM (SELECT o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%d') AS day, 'Pelanggan ' || o_custkey AS buyer FROM orders)"""
+    votes = EXPENSES_TEXT + """,
+readings AS (
+  SELECT data_source, tanggal,
+    CAST(try_strptime(tanggal, '%m/%d/%Y') AS DATE) AS by_month, CAST(try_strptime(tanggal, '%d/%m/%Y') AS DATE) AS by_day,
+    CAST(try_strptime(tanggal, '%Y-%m-%d') AS DATE) AS by_year
+  FROM expenses_text
+),
+votes AS (
+  SELECT data_source AS feed, count(*) FILTER (by_month IS NOT NULL AND by_day IS NULL) AS month_first,
+    count(*) FILTER (by_day IS NOT NULL AND by_month IS NULL) AS day_first,
+    count(*) FILTER (by_day <> by_month) AS ambiguous
+  FROM readings GROUP BY data_source
+),
+elected AS (SELECT *, day_first > month_first AS is_day_first FROM votes)"""
+    q["expense_date_vote"] = with_(
+        votes,
+        "SELECT feed, month_first, day_first, ambiguous, CASE WHEN is_day_first THEN 'd/M/yyyy' ELSE 'M/d/yyyy' END AS elected, "
+        "least(month_first, day_first) AS contradicting FROM elected",
+    )
+    q["expense_dates_as_voted"] = with_(
+        votes,
+        "SELECT data_source, tanggal AS date_text, CASE WHEN is_day_first THEN coalesce(by_year, by_day, by_month) "
+        "ELSE coalesce(by_year, by_month, by_day) END AS expense_date FROM readings JOIN elected ON feed = data_source",
+    )
+    q["stable_order_ids"] = st(
+        surrogate.replace("ORDER BY order_date", "ORDER BY data_source = 'real_2023', order_date", 1)
+    )
+    q["touched_months"] = st("SELECT DISTINCT year, month FROM staged WHERE data_source = 'real_2023'")
+    described = (
+        "SELECT '{0}' AS column_name, count(x) AS count, round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS std, round(min(x), 4) AS min, "
+        "round(quantile_cont(x, 0.25), 4) AS p25, round(quantile_cont(x, 0.5), 4) AS p50, round(quantile_cont(x, 0.75), 4) AS p75, "
+        "round(max(x), 4) AS max FROM (SELECT CAST({1} AS DOUBLE) AS x FROM customer)"
+    )
+    q["describe_any_number"] = _union([
+        described.format("wide", "c_custkey * 3000000000 - 40000000000"),
+        described.format("c_acctbal", "c_acctbal"),
+        described.format("with_nan", "CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal / 3 END"),
+        described.format("exact", "CAST(c_acctbal AS DECIMAL(12, 2))"),
+    ])
+
+    # the checklist's rules and findings
+    begins = lambda c: (
+        f"CASE regexp_extract(lower(trim({c})), '^(deep|fast|reparasi|tas|karpet|sendal)') WHEN 'deep' THEN 'Deep Clean' "
+        "WHEN 'fast' THEN 'Fast Clean' WHEN 'reparasi' THEN 'Reparasi' WHEN 'tas' THEN 'Tas' WHEN 'karpet' THEN 'Karpet' "
+        "WHEN 'sendal' THEN 'Sendal' END"
+    )
+    q["service_category"] = ot(
+        f"SELECT cuci AS service_type, sepatu AS shoe_type, coalesce({begins('cuci')}, {begins('sepatu')}) AS service_category, "
+        f"coalesce({begins('sepatu')}, {begins('cuci')}) AS category_of_shoe_first FROM orders_text"
+    )
+    category = f"coalesce({begins('service_type')}, {begins('shoe_type')})"
+    q["dq_service_category"] = st(
+        _union([
+            "SELECT 'accepted_values_service_category' AS check_name, CAST(0 AS BIGINT) AS failing, TRUE AS passed",
+            _check("not_null_service_category", f"{category} IS NULL", "staged"),
+        ])
+    )
+    q["checklist_payment_method"] = ot(
+        "SELECT keterangan AS notes, CASE WHEN regexp_matches(keterangan, 'BCA|BLU') THEN 'Transfer' "
+        "WHEN regexp_matches(keterangan, 'cash *$') THEN 'Cash' ELSE 'Unknown' END AS payment_method FROM orders_text"
+    )
+    item = lambda c: (
+        f"CASE WHEN coalesce(trim({c}), '') = '' THEN 'Other' ELSE CASE regexp_extract(lower(trim({c})), '^(tas|karpet|sendal|reparasi)') "
+        "WHEN 'tas' THEN 'Bag' WHEN 'karpet' THEN 'Carpet' WHEN 'sendal' THEN 'Sandal' WHEN 'reparasi' THEN 'Other' ELSE 'Shoe' END END"
+    )
+    q["checklist_item_type"] = ot(
+        f"SELECT sepatu AS shoe_type, {item('sepatu')} AS item_type, cuci AS service_type, {item('cuci')} AS item_type_of_service FROM orders_text"
+    )
+    even = "order_sequence_per_customer % 2 = 0"
+    q["loyalty_audit"] = fo(
+        f"SELECT year, count(*) FILTER ({even} AND discount >= 10000) AS earned, "
+        f"count(*) FILTER ({even} AND discount < 10000) AS missed, "
+        f"count(*) FILTER (NOT ({even}) AND discount = 10000) AS unearned FROM fct_orders GROUP BY year"
+    )
+    q["unearned_loyalty"] = fo(
+        "SELECT order_no, order_date, customer_name_clean, order_sequence_per_customer, discount, total_price "
+        f"FROM fct_orders WHERE NOT ({even}) AND discount_type = 'loyalty'"
+    )
+    q["confined_discounts"] = st(
+        "SELECT discount, any_value(year) AS year, any_value(month) AS month, count(*) AS orders FROM staged "
+        "WHERE order_date IS NOT NULL AND discount > 0 GROUP BY discount "
+        "HAVING count(DISTINCT year * 100 + month) = 1"
+    )
+    q["services_above"] = st(
+        "SELECT c AS service_category, orders, round(a, 6) AS avg_price, m AS max_price, round(b, 6) AS base_price, a > b AS is_above FROM ("
+        f"SELECT {category} AS c, count(*) AS orders, avg(price) AS a, max(price) AS m FROM staged GROUP BY 1) "
+        f"CROSS JOIN (SELECT avg(price) AS b FROM staged WHERE {category} = 'Deep Clean')"
+    )
+
     # synthetic feeds, one row per order key / schedule per part
     q["synth_orders"] = sy(
         'SELECT row_number() OVER (ORDER BY "Tanggal", id) AS "No", * EXCLUDE (id) FROM synth'

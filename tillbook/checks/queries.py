@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tillbook import fixed_values as V
 from tillbook.checks import messy
 from tillbook.functions import dates, numbers, rules, text
-from tillbook.operators import columns, profile, quality
+from tillbook.operators import columns, date_order, profile, quality
 from tillbook.operators.numbering import number_all
-from tillbook.plans import ingest, marts, staging, synthetic
+from tillbook.operators.quantiles import describe_numbers
+from tillbook.plans import ingest, marts, refresh, staging, synthetic
 from tillbook.plans import normalize as N
+from tillbook.sources import feeds, scratch
 from tillbook.sources.feeds import missing_as_null
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -640,6 +642,128 @@ def dq_net_not_null(spark, sf):
     return quality.not_null(_revenue(spark, sf), names)
 
 
+# --- feeds read from files, date votes, ids that stay, touched periods ----------
+
+
+@_query
+def csv_rejects(spark, sf):
+    """Orders written as a CSV feed, some lines too short or too long, and read back."""
+    key = F.col("o_orderkey")
+    good = F.concat_ws(",", key, F.to_date("o_orderdate"), F.concat(F.lit("Pelanggan "), "o_custkey"))
+    line = F.when(key % 97 == 5, F.concat_ws(",", key, F.to_date("o_orderdate"))).when(
+        key % 97 == 6, F.concat(good, F.lit(",extra"))
+    )
+    # One column of whole lines; the separator and the quote are characters that no line has.
+    lines = messy.table(spark, sf, "orders").select(F.coalesce(line, good).alias("No,Tanggal,Nama"))
+    path = scratch.scratch_path(spark)
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+    rows = feeds.read_csv(spark, path, keep_rejects=True)
+    read = F.col("reject_line").isNull()
+    cells = [F.when(read, F.col(h)).alias(name) for h, name in (("No", "order_no"), ("Tanggal", "date_text"), ("Nama", "customer"))]
+    return rows.select(*cells, "reject_line", F.col("reject_file").isNotNull().alias("is_rejected"))
+
+
+@_query
+def expense_date_vote(spark, sf):
+    cells = missing_as_null(messy.expenses_text(spark, sf))
+    return date_order.vote(cells, "Tanggal", V.EXPENSE_DATE_FORMATS, "data_source")
+
+
+@_query
+def expense_dates_as_voted(spark, sf):
+    cells = missing_as_null(messy.expenses_text(spark, sf))
+    read = date_order.parse_as_voted(cells, "Tanggal", V.EXPENSE_DATE_FORMATS, "data_source", "expense_date")
+    return read.select("data_source", F.col("Tanggal").alias("date_text"), "expense_date")
+
+
+@_query
+def stable_order_ids(spark, sf):
+    """All orders, one feed of which arrives with a second load."""
+    orders = staged(spark, sf)
+    _, ids = marts.stable_order_ids(orders.filter(F.col("data_source") != V.REAL_2023), None)
+    with_ids, _ = marts.stable_order_ids(orders, ids)
+    return with_ids.select("order_no", "order_date", "source_year", "total_price", "order_id")
+
+
+@_query
+def touched_months(spark, sf):
+    """Months that the late feed brings rows for."""
+    orders = orders_ledger(spark, sf)
+    return refresh.touched(orders.filter(F.col("data_source") != V.REAL_2023), orders, "order_date")
+
+
+@_query
+def describe_any_number(spark, sf):
+    buyers = messy.table(spark, sf, "customer")
+    key = F.col("c_custkey")
+    described = describe_numbers(
+        buyers.select(
+            (key * 3_000_000_000 - 40_000_000_000).alias("wide"),
+            "c_acctbal",
+            F.when(key % 7 == 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal") / 3).alias("with_nan"),
+            F.col("c_acctbal").cast("decimal(12,2)").alias("exact"),
+        ),
+        ["wide", "c_acctbal", "with_nan", "exact"],
+    )
+    return _rounded(described, 4, "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+# --- the checklist's rules and findings -------------------------------------------
+
+
+@_query
+def service_category(spark, sf):
+    service, shoe = F.col("service_type"), F.col("shoe_type")
+    return order_cells(spark, sf).select(
+        service, shoe, rules.service_category(service, shoe).alias("service_category"),
+        rules.service_category(shoe, service).alias("category_of_shoe_first"),
+    )
+
+
+@_query
+def dq_service_category(spark, sf):
+    category = rules.service_category(F.col("service_type"), F.col("shoe_type"))
+    rows = staged(spark, sf).withColumn("service_category", category)
+    accepted = quality.accepted_values(rows, {"service_category": list(V.SERVICE_CATEGORIES.values())})
+    return accepted.unionByName(quality.not_null(rows, ["service_category"]))
+
+
+@_query
+def checklist_payment_method(spark, sf):
+    notes = F.col("notes")
+    return order_cells(spark, sf).select(notes, rules.checklist_payment_method(notes).alias("payment_method"))
+
+
+@_query
+def checklist_item_type(spark, sf):
+    """The rule over the shoe column, and over the service column, where bags and carpets stand."""
+    shoe, service = F.col("shoe_type"), F.col("service_type")
+    return order_cells(spark, sf).select(
+        shoe, rules.checklist_item_type(shoe).alias("item_type"),
+        service, rules.checklist_item_type(service).alias("item_type_of_service"),
+    )
+
+
+@_query
+def loyalty_audit(spark, sf):
+    return marts.loyalty_audit(marts.fct_orders(staged(spark, sf)))
+
+
+@_query
+def unearned_loyalty(spark, sf):
+    return marts.unearned_loyalty(marts.fct_orders(staged(spark, sf)))
+
+
+@_query
+def confined_discounts(spark, sf):
+    return marts.confined_discounts(staged(spark, sf), least=1)
+
+
+@_query
+def services_above(spark, sf):
+    return _rounded(marts.services_above(staged(spark, sf)), 6, "avg_price", "base_price")
+
+
 # --- synthetic feeds, grown from the tables' own keys -------------------------
 
 

@@ -105,6 +105,17 @@ MANUAL_DISCOUNT_ABOVE = 10000
 UNKNOWN_PAYMENT_STATUS = "unknown"
 DISCOUNT_TYPES = ["none", "loyalty", "special", "promo", "manual", "surcharge", "unknown"]
 
+# ---------------------------------------------------------------------------
+# The checklist's vocabulary, beside the live rules above.
+# ---------------------------------------------------------------------------
+SERVICE_CATEGORIES = {
+    "deep": "Deep Clean", "fast": "Fast Clean", "reparasi": "Reparasi",
+    "tas": "Tas", "karpet": "Karpet", "sendal": "Sendal",
+}
+CHECKLIST_ITEMS = {"tas": "Bag", "karpet": "Carpet", "sendal": "Sandal", "reparasi": "Other"}
+CHECKLIST_ITEM_TYPES = ["Shoe", "Bag", "Carpet", "Sandal", "Other"]
+TRANSFER_MARKS = ["BCA", "BLU"]
+
 # ---------------------------------------------------------------------------
 # Data-quality rules.
 # ---------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tillbook import fixed_values as V
+from tillbook.functions.text import folded
 
 
 def _first_match(cases: list[tuple[Column, Column]], default: Column) -> Column:
@@ -63,3 +64,31 @@ def discount_type(discount: Column) -> Column:
         (discount > V.MANUAL_DISCOUNT_ABOVE, F.lit("manual")),
     ]
     return _first_match(cases, F.lit("unknown"))
+
+
+# --- the checklist's rules, beside the live ones -------------------------------
+
+
+def service_category(service: Column, shoe: Column) -> Column:
+    """One of six categories, by how the service's text begins, else the shoe's; null for neither.
+
+    Case and surrounding whitespace do not count. A deep-cleaned bag is a deep clean: the
+    service's own text goes first.
+    """
+    named = lambda c: [(F.startswith(folded(c), F.lit(p)), F.lit(kind)) for p, kind in V.SERVICE_CATEGORIES.items()]
+    return _first_match(named(service) + named(shoe), F.lit(None).cast("string"))
+
+
+def checklist_payment_method(notes: Column) -> Column:
+    """Either bank is a transfer; a missing or blank note is unknown, not cash."""
+    cases = [(F.contains(notes, F.lit(mark)), F.lit("Transfer")) for mark in V.TRANSFER_MARKS]
+    cases.append((F.endswith(F.rtrim(notes), F.lit(V.CASH_SUFFIX)), F.lit("Cash")))
+    return _first_match(cases, F.lit("Unknown"))
+
+
+def checklist_item_type(shoe: Column) -> Column:
+    """Shoe, Bag, Carpet, Sandal or Other by the shoe column; nothing written is Other."""
+    text = folded(shoe)
+    cases = [(F.coalesce(text, F.lit("")) == "", F.lit("Other"))]
+    cases += [(F.startswith(text, F.lit(p)), F.lit(kind)) for p, kind in V.CHECKLIST_ITEMS.items()]
+    return _first_match(cases, F.lit("Shoe"))

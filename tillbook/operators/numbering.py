@@ -15,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.operators.ordering import sort_over_ranges
-from tillbook.sources.scratch import write_scratch
+from tillbook.operators.ordering import n_ranges, sort_over_ranges
+from tillbook.sources.scratch import write_scratch, write_scratch_by_partition
 
 _AT, _RANGE, _FIRST, _LAST, _ROWS, _SHIFT = "__at", "__range", "__first", "__last", "__rows", "__shift"
 
@@ -28,30 +28,36 @@ def _offsets(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     # Only the first and the last group of a range can go on elsewhere: two rows a range.
     end = F.max(_LAST).over(Window.partitionBy(_RANGE))
-    starts = F.col(_FIRST) == F.shiftleft(_RANGE, 33)
+    starts = F.col(_FIRST).bitwiseAND((1 << 33) - 1) == 0
     edges = pieces.withColumn("__end", end).filter(starts | (F.col(_LAST) == F.col("__end")))
-    before = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(_FIRST).rowsBetween(Window.unboundedPreceding, -1)
     shifted = edges.withColumn(_SHIFT, F.sum(_ROWS).over(before))
     return shifted.filter(starts).select(
         F.col(_RANGE).alias("__r"), F.col(_LAST).alias("__until"), F.coalesce(_SHIFT, F.lit(0)).alias(_SHIFT)
     )
 
 
-def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+def number_within(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, stored: bool = False
+) -> DataFrame:
     """1-based row number within ``keys``; like ``row_number`` but for any group size.
 
-    Null keys form a group. The input and its sorted copy are written to the shared
-    scratch folder when this is called: ranges must be the same for numbers and offsets.
+    Null keys form a group. The sorted rows are written to the shared scratch folder when
+    this is called: ranges must be the same for numbers and offsets. So is the input, unless
+    it is ``stored``: a projection of files, which costs little to read twice. Rows move once,
+    in the sort: the sorted copy is stored by range, and numbering reads it range by range.
     """
     by_group = [F.col(k).asc_nulls_first() for k in keys]
-    ordered = sort_over_ranges(write_scratch(df), [*by_group, *order])
+    given = df if stored else write_scratch(df)
+    ordered = sort_over_ranges(given, [*by_group, *order])
     # After the sort, this id is (range number, position in range).
-    placed = write_scratch(ordered.withColumn(_AT, F.monotonically_increasing_id()))
-    placed = placed.withColumn(_RANGE, F.shiftright(_AT, 33))
+    placed = write_scratch_by_partition(
+        ordered.withColumn(_AT, F.monotonically_increasing_id()), _RANGE, n_ranges(given)
+    )
     if keys:
         local = F.row_number().over(Window.partitionBy(_RANGE, *keys).orderBy(_AT))
     else:
-        local = F.col(_AT) - F.shiftleft(_RANGE, 33) + 1
+        local = F.col(_AT).bitwiseAND((1 << 33) - 1) + 1
     # Broadcast bound: three numbers for each range of the sort.
     numbered = placed.withColumn("__local", local).join(
         F.broadcast(_offsets(placed, keys)), F.col(_RANGE) == F.col("__r")

@@ -215,7 +215,7 @@ def build_marts(spark: SparkSession, share: str) -> list[str]:
     """
     orders = staging.staged_orders(tables.source(spark, "raw_orders"))
     expenses = staging.stg_expenses(tables.source(spark, "raw_expenses"))
-    tables.save_table(marts.fct_orders(orders), "fct_orders")
+    tables.save_table(marts.fct_orders(orders, stored=True), "fct_orders")
     fct_orders = tables.source(spark, "fct_orders")
     built = {
         "fct_monthly_revenue": marts.fct_monthly_revenue(fct_orders),
@@ -227,6 +227,9 @@ def build_marts(spark: SparkSession, share: str) -> list[str]:
         "dim_customers": marts.dim_customers(fct_orders),
         "dim_service_types": marts.dim_service_types(fct_orders),
         "missed_discount_by_year": marts.missed_discount_by_year(fct_orders),
+        "loyalty_audit": marts.loyalty_audit(fct_orders),
+        "confined_discounts": marts.confined_discounts(fct_orders),
+        "services_above": marts.services_above(fct_orders),
     }
     for name, mart in built.items():
         tables.save_table(mart, name)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbook import fixed_values as V
+from tillbook.functions import rules
 from tillbook.functions.text import folded
 from tillbook.operators.numbering import number_within
 from tillbook.sources.scratch import write_scratch
@@ -39,15 +40,15 @@ def _sum(c: str | Column) -> Column:
 # --- order grain ------------------------------------------------------------
 
 
-def fct_orders(staged: DataFrame, tie_break: Sequence[str] = tuple(TIE_BREAK)) -> DataFrame:
+def fct_orders(staged: DataFrame, tie_break: Sequence[str] = tuple(TIE_BREAK), stored: bool = False) -> DataFrame:
     """Staged orders with their place in the customer's year and the loyalty audit.
 
     Every even order of a customer in a year earns the loyalty discount; a smaller
-    discount than earned counts as missed.
+    discount than earned counts as missed. ``stored`` as in ``number_within``.
     """
     order = _total_order(staged, ["order_date", *tie_break])
     numbered = number_within(
-        staged, ["customer_name_clean", "year"], order, "order_sequence_per_customer"
+        staged, ["customer_name_clean", "year"], order, "order_sequence_per_customer", stored
     )
     place = F.col("order_sequence_per_customer")
     earned = F.when(place % 2 == 0, F.lit(V.LOYALTY_DISCOUNT)).otherwise(F.lit(0))
@@ -301,6 +302,56 @@ def discount_alert(
     return missed_discount_by_year(orders).filter(F.col("missed_discounts") > limit)
 
 
+def loyalty_audit(orders: DataFrame) -> DataFrame:
+    """Per year: what became of the loyalty discount, by the order's place.
+
+    ``earned`` even orders got it, or more; ``missed`` ones got less; ``unearned`` odd orders
+    carry the loyalty label all the same. Orders whose discount is not known count nowhere.
+    ``orders`` is ``fct_orders``.
+    """
+    earned, off = F.col("expected_discount") > 0, F.col("discount")
+    return orders.groupBy("year").agg(
+        F.count_if(earned & (off >= F.col("expected_discount"))).alias("earned"),
+        F.count_if(earned & (off < F.col("expected_discount"))).alias("missed"),
+        F.count_if(~earned & (off == V.LOYALTY_DISCOUNT)).alias("unearned"),
+    )
+
+
+def unearned_loyalty(orders: DataFrame) -> DataFrame:
+    """The orders that carry the loyalty label on an odd place."""
+    columns = ["order_no", "order_date", "customer_name_clean", "order_sequence_per_customer", "discount", "total_price"]
+    return orders.filter((F.col("expected_discount") == 0) & (F.col("discount") == V.LOYALTY_DISCOUNT)).select(*columns)
+
+
+def confined_discounts(staged: DataFrame, least: int = 2) -> DataFrame:
+    """Discounts that were given at least so often, but in one month only: undocumented promotions.
+
+    Orders without a date are left out. Counted per discount and month, then per discount.
+    """
+    dated = staged.filter(F.col("order_date").isNotNull() & (F.col("discount") > 0))
+    per_month = dated.groupBy("discount", "year", "month").agg(F.count("*").alias("orders"))
+    return (
+        per_month.groupBy("discount")
+        .agg(F.count("*").alias("months"), *[F.max(c).alias(c) for c in ("year", "month", "orders")])
+        .filter((F.col("months") == 1) & (F.col("orders") >= least))
+        .drop("months")
+    )
+
+
+def services_above(staged: DataFrame, base: str = "Deep Clean") -> DataFrame:
+    """Per service category: prices beside the base category's, and whether they lie above on average.
+
+    Orders of no category are one of their own. After the aggregate there is one row per
+    category, few enough for a window without keys.
+    """
+    category = rules.service_category(F.col("service_type"), F.col("shoe_type"))
+    prices = staged.groupBy(category.alias("service_category")).agg(
+        F.count("*").alias("orders"), F.avg("price").alias("avg_price"), F.max("price").alias("max_price")
+    )
+    base_price = F.max(F.when(F.col("service_category") == base, F.col("avg_price"))).over(Window.partitionBy())
+    return prices.withColumn("base_price", base_price).withColumn("is_above", F.col("avg_price") > F.col("base_price"))
+
+
 def pricing_anomalies(staged: DataFrame) -> DataFrame:
     """Free orders (discount equals price) and surcharges (negative discount)."""
     kind = F.when(F.col("discount") < 0, F.lit("surcharge")).when(

@@ -31,19 +31,23 @@ def _fingerprints(rows: DataFrame, date: str, name: str) -> DataFrame:
     )
 
 
-def touched_months(before: DataFrame | None, after: DataFrame, date: str) -> list[Period]:
-    """Months whose rows differ between two versions of a table, those without a date as (None, None).
+def touched(before: DataFrame | None, after: DataFrame, date: str) -> DataFrame:
+    """Year and month of each month whose rows differ between two versions of a table.
 
-    One aggregate over each version; the months come to the driver.
+    Rows without a date are the month (null, null). One aggregate over each version.
     """
     now = _fingerprints(after, date, "other")
-    if before is not None:
-        then = _fingerprints(before.select(*after.columns), date, "other")
-        both = now.withColumn("side", F.lit(1)).unionByName(then.withColumn("side", F.lit(-1)))
-        sums = [F.sum(F.col(c) * F.col("side")) for c in ("n", "a", "b")]
-        now = both.groupBy(*MONTH).agg(*[s.alias(c) for s, c in zip(sums, ("n", "a", "b"), strict=True)])
-        now = now.filter("n <> 0 OR a <> 0 OR b <> 0")
-    return sorted(((r["year"], r["month"]) for r in now.select(*MONTH).distinct().collect()), key=str)
+    if before is None:
+        return now.select(*MONTH)
+    then = _fingerprints(before.select(*after.columns), date, "other")
+    both = now.withColumn("side", F.lit(1)).unionByName(then.withColumn("side", F.lit(-1)))
+    sums = [F.sum(F.col(c) * F.col("side")).alias(c) for c in ("n", "a", "b")]
+    return both.groupBy(*MONTH).agg(*sums).filter("n <> 0 OR a <> 0 OR b <> 0").select(*MONTH)
+
+
+def touched_months(before: DataFrame | None, after: DataFrame, date: str) -> list[Period]:
+    """The same on the driver: a few rows a year."""
+    return sorted((tuple(r) for r in touched(before, after, date).collect()), key=str)
 
 
 def _dated_within(column: str, periods: Sequence[tuple]) -> Column:
@@ -96,7 +100,7 @@ def refresh_marts(spark: SparkSession, warehouse: str, share: str, since: int |
     folder = lambda name: f"{warehouse.rstrip('/')}/marts/{name}"
     if years:
         staged = staging.staged_orders(orders.filter(_dated_within("order_date", years)))
-        _replace(spark, marts.fct_orders(staged), folder("fct_orders"), YEAR, years)
+        _replace(spark, marts.fct_orders(staged, stored=True), folder("fct_orders"), YEAR, years)
         versions.point(spark, "fct_orders", folder("fct_orders"))
     if months:
         # The monthly facts need no sequence, so they read the raw tables' months alone.
