@@ -37,6 +37,8 @@ MARKER = "▁"
 SLICE = 1 << 20
 #: Words that the library segments in one call.
 CALL = 1 << 14
+#: Compression level of what travels.
+PACKED = 9
 
 _RUNS = re.compile(" *[^ ]+| +")
 
@@ -114,19 +116,69 @@ def _numbered(texts: list[bytes], buckets: int) -> tuple[dict[int, list[bytes]],
     for at, (bucket, word, n) in enumerate(rows):
         by_bucket.setdefault(bucket, []).append(word)
         place[n] = at
-    flat = place[np.concatenate(parts)] if parts else np.zeros(0, np.uint32)
-    # Bytes of one rank side by side compress better than whole numbers.
-    planes = flat.view(np.uint8).reshape(-1, 4).T.tobytes()
-    return by_bucket, zstandard.compress(len(ends).to_bytes(4, "little") + np.array(ends, np.uint32).tobytes() + planes)
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+    # Texts hold ranks by frequency, most of which fit in a byte or two; a table leads from
+    # rank to place.
+    times = np.bincount(flat, minlength=len(rows)) if len(rows) else np.zeros(0, np.int64)
+    by_rank = np.lexsort((place, -times))
+    rank = np.empty(len(rows), np.uint32)
+    rank[by_rank] = np.arange(len(rows), dtype=np.uint32)
+    steps = np.diff(place[by_rank].astype(np.int64), prepend=0).astype(np.int32)
+    head = np.array([len(ends), len(rows), len(flat), *ends], np.uint32).tobytes()
+    return by_bucket, zstandard.compress(head + _planes(steps.view(np.uint32)) + _short(rank[flat]), PACKED)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """All lowest bytes, then all next ones: these compress better than whole numbers."""
+    size = numbers.itemsize
+    return numbers.view(np.uint8).reshape(-1, size).T.tobytes()
+
+
+def _whole(planes: np.ndarray, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel()
+
+
+#: Ranks below ONE take one byte. Others up to 2^16 * (LONG - ONE) above take that byte and two
+#: more, the rest four more.
+ONE, LONG = 192, 255
+
+
+def _short(ranks: np.ndarray) -> bytes:
+    beyond = ranks - np.minimum(ranks, ONE)
+    high = beyond >> 16
+    first = np.where(ranks < ONE, ranks, np.minimum(ONE + high, LONG)).astype(np.uint8)
+    two, four = (first >= ONE) & (first < LONG), first == LONG
+    return first.tobytes() + _planes(beyond[two].astype(np.uint16)) + _planes(beyond[four])
+
+
+def _ranks(raw: np.ndarray, n: int) -> np.ndarray:
+    first = raw[:n]
+    two, four = (first >= ONE) & (first < LONG), first == LONG
+    out = first.astype(np.uint32)
+    middle = n + 2 * int(two.sum())
+    out[two] = ONE + ((out[two] - ONE) << 16) + _whole(raw[n:middle], np.uint16)
+    out[four] = ONE + _whole(raw[middle:], np.uint32)
+    return out
 
 
 def _numbers(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Words of each text, and all their numbers."""
-    raw = zstandard.decompress(packed)
-    n = int.from_bytes(raw[:4], "little")
-    lengths = np.frombuffer(raw, np.uint32, n, 4)
-    planes = np.frombuffer(raw, np.uint8, -1, 4 + 4 * n).reshape(4, -1)
-    return lengths, np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+    """Words of each text, and all their places in the block's table."""
+    raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    n_texts, n_words, n = raw[:12].view(np.uint32).tolist()
+    steps_at = 12 + 4 * n_texts
+    ranks_at = steps_at + 4 * n_words
+    place = np.cumsum(_whole(raw[steps_at:ranks_at], np.int32), dtype=np.int64)
+    return raw[12:steps_at].view(np.uint32), place[_ranks(raw[ranks_at:], n)]
+
+
+def _pack_words(words: list[bytes]) -> bytes:
+    """Words of UTF-8, in which the byte between them cannot occur."""
+    return zstandard.compress(b"\xff".join(words), PACKED)
+
+
+def _unpack_words(packed: bytes) -> list[bytes]:
+    return zstandard.decompress(packed).split(b"\xff")
 
 
 def _placed(numbers: np.ndarray, lengths: np.ndarray, ids: list[bytes], around: tuple[list[int], list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +236,7 @@ def encode(
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, ids, parts in blocks_of(batches):
             words, numbers = _numbered(parts, buckets)
-            rows = [(bucket, block, None, pack(some)) for bucket, some in words.items()]
+            rows = [(bucket, block, None, _pack_words(some)) for bucket, some in words.items()]
             # The texts pass the buckets' shuffle too, each block in a group of its own.
             rows.append((-1 - block, block, pack_ids(ids), numbers))
             for row in rows:
@@ -193,7 +245,7 @@ def encode(
     def answer(table: pa.Table) -> pa.Table:
         if table.column("docs")[0].is_valid:
             return table
-        lists = [unpack(p) for p in table.column("packed").to_pylist()]
+        lists = [_unpack_words(p) for p in table.column("packed").to_pylist()]
         distinct = sorted(set().union(*lists))
         known = dict(zip(distinct, segment(load(shared.value), distinct), strict=True))
         answers = [pack([known[w] for w in words]) for words in lists]
