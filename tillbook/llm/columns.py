@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,16 +22,50 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def binary(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column."""
     return column.cast(pa.large_binary()).to_pylist()
 
 
-def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Map Arrow batches one by one; no shuffle, bounded memory."""
+#: Bytes of texts that a Python task holds as objects of their own at a time.
+HELD_BYTES = 4 << 20
+
+
+def small(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = HELD_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches, none with more bytes of text than ``most`` unless it is one row.
+
+    A batch stays in Arrow's memory; what is made of its rows is limited by bytes, not rows.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
+def by_batch(
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str | None = None
+) -> DataFrame:
+    """Map Arrow batches one by one; no shuffle, bounded memory. With ``column``: slices of them, see ``small``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches if column is None else small(batches, column):
             if batch.num_rows and (out := work(batch)) is not None:
                 yield out
 

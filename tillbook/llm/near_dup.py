@@ -6,10 +6,12 @@ ROWS values place a document in BANDS buckets; at a similarity of 0.8 a pair sha
 bucket with odds below 4 in a million.
 
 Documents with the same shingle set are one class from the start. In a bucket, classes
-are compared with the bucket's least class first and, once linked ones are joined, only
-classes still apart are compared with further ones. Links are confirmed on the full
-shingle sets, as exact words. What joins two classes in any bucket, or by any chain of
-links, ends in one component.
+are compared with the bucket's most copied class first: near copies are as a rule made from
+what is copied often. Buckets that still hold classes apart then do not compare all with
+all: their classes are joined by prefixes of their shingles, rarest first, which any two
+similar enough must share, within the lengths and positions that can still reach the
+similarity. Links are confirmed on the full shingle sets, as exact words. What joins two
+classes in any bucket, or by any chain of links, ends in one component.
 """
 
 from __future__ import annotations
@@ -23,13 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.columns import binary, id_and_text
+from tillbook.llm.columns import binary, free_names, id_and_text, small
 from tillbook.llm.components import components
 from tillbook.sources.scratch import write_scratch
 
 PERMUTATIONS, BANDS, ROWS = 80, 32, 5
-#: Hubs of a bucket in the rounds after the first: ranks from .. below.
-ROUNDS = ((0, 16), (16, 1 << 60))
 #: Shingles whose signatures are worked out together: their hashes stay in the cache.
 TOGETHER = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -95,7 +95,7 @@ def _sketch(width: int):
                 names=["doc_id", "text_key", "n_shingles", "node", "bands"],
             )
 
-        for batch in batches:
+        for batch in small(batches):
             ids, keys, sets, held = [], [], [], 0
             for doc, text in zip(batch.column("doc_id").to_pylist(), binary(batch.column("text")), strict=True):
                 ids.append(doc)
@@ -121,7 +121,7 @@ def exact_shingles(text: bytes, width: int) -> frozenset:
 def _confirm(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, one = None, frozenset()
-        for batch in batches:
+        for batch in small(batches, "text_b"):
             keep = []
             for a, ta, tb in zip(batch.column("a").to_pylist(), binary(batch.column("text_a")), binary(batch.column("text_b")), strict=True):
                 if a != last:
@@ -141,6 +141,56 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return told.mapInArrow(_confirm(width, percent), "a binary, b binary").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _shingles(width: int):
+    """(node, shingle) rows of the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHash()
+        for batch in small(batches):
+            nodes, sets = batch.column("node").to_pylist(), [shingle_hashes(t.lower().split(), hashes, width) for t in binary(batch.column("text"))]
+            for start in range(0, len(sets), 64):
+                some = sets[start : start + 64]
+                repeated = np.repeat(np.arange(len(some)), [len(s) for s in some])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes[start : start + 64], pa.binary()).take(pa.array(repeated)), pa.array(np.concatenate(some).view(np.int64))],
+                    names=["node", "shingle"],
+                )
+
+    return run
+
+
+def _alike(apart: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of different components that can be similar enough.
+
+    ``apart`` has node, n (its shingles) and root. A pair of the similarity shares one of the
+    n - ceil(n * percent / 100) + 1 first shingles of each in any order that all agree on; here
+    rare ones go first, so shingles that many classes have are in few prefixes. A shingle of
+    one class only takes a place but makes no pairs.
+    """
+    found = write_scratch(apart.select("node").join(texts, "node").mapInArrow(_shingles(width), "node binary, shingle bigint"))
+    often = found.groupBy("shingle").agg(F.count("*").alias("f")).filter("f > 1")
+    by_node = Window.partitionBy("node")
+    known = found.join(often, "shingle").select(
+        "node",
+        "shingle",
+        F.row_number().over(by_node.orderBy("f", "shingle")).alias("rank"),
+        F.count("*").over(by_node).alias("common"),
+    )
+    least = lambda n: F.floor((F.lit(percent) * n + 99) / 100)
+    at = F.col("n") - F.col("common") + F.col("rank") - 1
+    prefix = known.join(apart, "node").withColumn("at", at).filter(F.col("at") <= F.col("n") - least(F.col("n")))
+    prefix = write_scratch(prefix.select("node", "n", "root", "shingle", "at"))
+    of = lambda k: prefix.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "root", "at")])
+    size = lambda k: F.col(f"n_{k}")
+    # From the first shingle in common on, so many more can be.
+    rest = F.least(size("a") - F.col("at_a"), size("b") - F.col("at_b"))
+    can_reach = F.lit(100 + percent) * rest >= F.lit(percent) * (size("a") + size("b"))
+    near = F.lit(100) * F.least(size("a"), size("b")) >= F.lit(percent) * F.greatest(size("a"), size("b"))
+    left, right = of("a"), of("b")
+    same = (left["shingle"] == right["shingle"]) & (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
+    return left.join(right, same & near & can_reach).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, width: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, text_key, n_shingles, component_id, first_key.
 
@@ -160,11 +210,12 @@ def classes(docs: DataFrame, width: int = 4, percent: int = 80, id_col: str = "d
         full.groupBy("node").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"),
             F.first("n_shingles").alias("n"),
+            F.count("*").alias("copies"),
             F.first("bands").alias("bands"),
         )
     )
-    placed = nodes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
-    held = placed.groupBy("band", "bucket").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("hub"))
+    placed = nodes.select("node", "n", "copies", F.posexplode("bands").alias("band", "bucket"))
+    held = placed.groupBy("band", "bucket").agg(F.count("*").alias("members"), F.max(F.struct("copies", "node", "n")).alias("hub"))
     shared = write_scratch(
         placed.join(held.filter("members > 1"), ["band", "bucket"]).select("band", "bucket", "node", "n", "hub")
     )
@@ -179,23 +230,13 @@ def classes(docs: DataFrame, width: int = 4, percent: int = 80, id_col: str = "d
     first = shared.filter(F.col("node") != F.col("hub.node")).filter(near(F.col("n"), F.col("hub.n")))
     links = write_scratch(_confirmed(first.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), found, width, percent))
     roots = write_scratch(components(links))
-    for low, high in ROUNDS:
-        # Buckets that still hold classes apart; in these, hubs of this round against later ranks.
-        known = shared.drop("hub").join(roots, "node", "left").select(
-            "band", "bucket", "node", "n", F.coalesce("root", "node").alias("root")
-        )
-        apart = known.groupBy("band", "bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-        rank = F.row_number().over(Window.partitionBy("band", "bucket").orderBy("node")) - 1
-        left = write_scratch(known.join(apart.drop("lo", "hi"), ["band", "bucket"]).withColumn("rank", rank))
-        hubs = left.filter((F.col("rank") >= low) & (F.col("rank") < high)).select(
-            "band", "bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), F.col("rank").alias("rank_a")
-        )
-        pairs = left.join(hubs, ["band", "bucket"]).filter("rank > rank_a AND root != root_a").filter(near(F.col("n"), F.col("n_a")))
-        pairs = write_scratch(pairs.select("a", F.col("node").alias("b")).distinct())
-        more = write_scratch(_confirmed(pairs, found, width, percent))
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = write_scratch(components(links))
+    # Buckets that still hold classes apart.
+    known = shared.join(roots, "node", "left").select("band", "bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    apart = known.groupBy("band", "bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
+    apart = write_scratch(known.join(apart.select("band", "bucket"), ["band", "bucket"], "left_semi").select("node", "n", "root").distinct())
+    more = write_scratch(_confirmed(_alike(apart, found, width, percent), found, width, percent))
+    if not more.isEmpty():
+        roots = write_scratch(components(links.unionByName(more)))
     member = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     member = write_scratch(member)
     least = member.groupBy("root").agg(F.min("first").alias("least"))
@@ -224,9 +265,10 @@ def kept_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     """
     keys = write_scratch(classes(docs, width, percent))
     first = keys.filter((F.col("n_shingles") == 0) | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("first_key"))))
-    first = first.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    row, key = free_names(docs, "id", "key")
+    first = first.select(F.col("doc_id").alias(row), F.col("text_key").alias(key)).distinct()
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("__id")) & (F.md5(text.cast("binary")) == F.col("__key"))
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col(row)) & (F.md5(text.cast("binary")) == F.col(key))
     kept = docs.join(first.hint("shuffle_hash"), same)
     # Rows that share id and text are one document.
-    return kept.dropDuplicates(["__id", "__key"]).select(*docs.columns)
+    return kept.dropDuplicates([row, key]).select(*[F.col(f"`{c}`") for c in docs.columns])
