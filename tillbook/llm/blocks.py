@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
+from pyspark.sql import DataFrame
 
 from tillbook.llm.columns import binary
 
@@ -72,6 +73,10 @@ def by_bucket(words, buckets: int) -> dict[int, list[bytes]]:
     return out
 
 
-def n_buckets(spark) -> int:
-    """Follows spark.sql.shuffle.partitions, which is set by the size of the input."""
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def n_buckets(texts: DataFrame) -> int:
+    """Grows with the input: four for each split it is read in, or shuffle partition if those are more.
+
+    A block sends each distinct word once, so a bucket's share stays about the same at any size.
+    """
+    setting = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 4 * max(texts.rdd.getNumPartitions(), setting)

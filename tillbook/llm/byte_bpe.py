@@ -65,7 +65,7 @@ def encode(
     """
     texts = id_and_text(docs, id_col, text_col)
     spark = docs.sparkSession
-    buckets = n_buckets(spark)
+    buckets = n_buckets(texts)
     with open(ranks_path, "rb") as file:
         ranks = spark.sparkContext.broadcast(file.read())  # the vocabulary file
 

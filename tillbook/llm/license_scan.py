@@ -47,7 +47,8 @@ TEMPLATES = (
     ("reserved", "all rights reserved no part of this publication may be reproduced distributed or transmitted in any form or by any means"),
 )
 THRESHOLD = 0.85
-#: Blocks overlap by half, so a notice of up to half a block lies whole in one.
+#: Blocks overlap by half, so a notice of up to half a block lies whole in one. A template of
+#: more words than that has blocks of twice its length.
 BLOCK_WORDS = 64
 
 #: A-Z to a-z; digits, letters and all bytes of longer characters stay; the rest is space.
@@ -80,6 +81,14 @@ def word_frequencies(texts: DataFrame, vocabulary: frozenset[bytes]) -> dict[byt
     return {bytes(r["word"]): r["n"] for r in sums.collect()}
 
 
+def block_lengths(templates: tuple[tuple[str, str], ...], block_words: int) -> dict[int, list[str]]:
+    """Words of a block -> the templates that are looked for in such blocks."""
+    out: dict[int, list[str]] = {}
+    for label, text in templates:
+        out.setdefault(max(block_words, 2 * len(fold_words(text.encode()))), []).append(label)
+    return out
+
+
 class PrefixIndex:
     """Rare words -> the templates they may stand for."""
 
@@ -128,10 +137,12 @@ def find_phrases(words: list[bytes], phrases: list[tuple[bytes, str]]) -> list[t
     text = b" " + b" ".join(words) + b" "
     found = []
     for phrase, label in phrases:
-        at = text.find(phrase)
+        # The words before a hit are those before the last one and those since.
+        word, last, at = 0, 0, text.find(phrase)
         while at >= 0:
-            found.append((label, text.count(b" ", 0, at)))
-            at = text.find(phrase, at + 1)
+            word += text.count(b" ", last, at)
+            found.append((label, word))
+            last, at = at, text.find(phrase, at + 1)
     return found
 
 
@@ -153,12 +164,17 @@ def scan(
 ) -> DataFrame:
     """Per row of ``docs``: its number of words, its phrases and its blocks that match.
 
-    A null or empty text has no words, phrases or blocks; repeated rows and ids each get
+    A template may have any number of words; blocks have ``block_words``, or twice those of a
+    template that half a block cannot hold. A null or empty text has no words, phrases or blocks; repeated rows and ids each get
     a row; an empty table gives none; other columns are not read.
     """
     texts = id_and_text(docs, id_col, text_col)
     sets = template_sets(templates)
-    index = PrefixIndex(sets, word_frequencies(texts, frozenset().union(*sets.values())), threshold)
+    frequency = word_frequencies(texts, frozenset().union(*sets.values()))
+    indexes = {
+        n: PrefixIndex({label: sets[label] for label in labels}, frequency, threshold)
+        for n, labels in block_lengths(templates, block_words).items()
+    }
     phrases = [(b" " + p.encode() + b" ", label) for p, label in PHRASES]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -167,11 +183,12 @@ def scan(
             words = fold_words(text)
             n_words.append(len(words))
             places.append([{"label": a, "word": w} for a, w in find_phrases(words, phrases)])
-            blocks.append([dict(zip(("label", "first_word", "end_word", "share"), b, strict=True)) for b in find_blocks(words, index, block_words)])
+            found = [b for n, index in indexes.items() for b in find_blocks(words, index, n)]
+            blocks.append([dict(zip(("label", "first_word", "end_word", "share"), b, strict=True)) for b in found])
         arrays = [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(places, PLACE), pa.array(blocks, BLOCK)]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "phrases", "blocks"])
 
-    return by_batch(texts, work, SCHEMA)
+    return by_batch(texts, work, SCHEMA, "text")
 
 
 def digest(docs: DataFrame) -> DataFrame:

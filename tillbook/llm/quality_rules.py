@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.columns import binary, by_batch
+from tillbook.llm.columns import binary, by_batch, free_names, small
 from tillbook.sources.scratch import write_scratch
 
 #: Character classes, told by the byte (by the first byte of a longer character).
@@ -172,7 +172,7 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["lang", "word", "kind", "n"],
         )
 
-    for batch in batches:
+    for batch in small(batches):
         for text, lang in zip(binary(batch.column("text")), batch.column("lang").to_pylist(), strict=True):
             words_of.setdefault(lang, Counter()).update(plain_words(text))
             classes[lang] = classes.get(lang, 0) + class_histogram(text)
@@ -240,10 +240,11 @@ def _nearest(texts: DataFrame, refs: DataFrame, limits: Limits) -> DataFrame:
 
 
 def with_references(docs: DataFrame, limits: Limits, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """``docs`` with the columns ``REF`` of its language's reference, or of the nearest."""
+    """``docs`` with four columns more: those of ``REF`` for its language's reference, or for the
+    nearest, under names that ``docs`` does not have."""
     source = _source(docs, id_col, text_col, lang_col)
     refs = references(source, limits)
-    mark, salt, row = "__lang", "__salt", "__row"
+    mark, salt, row, *ref = free_names(docs, "lang_", "salt_", "row_", *REF)
     lang = docs[lang_col].cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
     marked = docs.withColumn(mark, lang)
     unnamed = write_scratch(marked.filter(F.col(mark).isNull()).withColumn(row, F.monotonically_increasing_id()))
@@ -253,15 +254,19 @@ def with_references(docs: DataFrame, limits: Limits, id_col: str, text_col: str,
     both = marked.filter(F.col(mark).isNotNull()).unionByName(named)
     # Small references are broadcast by the optimiser, others meet their documents by language and share.
     both = both.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    shares = refs.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn(mark, F.col("ref_lang"))
-    return both.join(shares, [mark, salt], "left").select(*[F.col(f"`{c}`") for c in docs.columns], *REF)
+    shares = refs.select(
+        F.col("ref_lang").alias(mark), *[F.col(c).alias(name) for c, name in zip(REF, ref, strict=True)],
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(salt),
+    )
+    return both.join(shares, [mark, salt], "left").select(*[F.col(f"`{c}`") for c in docs.columns], *ref)
 
 
 def _judge_batch(batch: pa.RecordBatch, texts: pa.Array, limits: Limits) -> list[tuple]:
     """``judge`` with each language's reference read once a batch."""
-    langs = batch.column("ref_lang").to_pylist()
+    ref = batch.columns[-len(REF) :]
+    langs = ref[0].to_pylist()
     firsts = pa.array(sorted({lang: i for i, lang in enumerate(langs)}.values()), pa.int64())
-    known = _read_references([batch.column(c).take(firsts).to_pylist() for c in REF])
+    known = _read_references([c.take(firsts).to_pylist() for c in ref])
     return judge(binary(texts), langs, known, limits)
 
 
@@ -329,7 +334,7 @@ def rate(
         arrays = [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]]
         return pa.RecordBatch.from_arrays(arrays, names=NAMES)
 
-    return by_batch(source, work, VERDICT)
+    return by_batch(source, work, VERDICT, "text")
 
 
 def kept_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -341,4 +346,4 @@ def kept_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         keep = [row[6] for row in _judge_batch(batch, batch.column("text").fill_null(""), limits)]
         return batch.select(names).filter(pa.array(keep, pa.bool_()))
 
-    return by_batch(with_references(docs, limits, "doc_id", "text", "lang"), work, docs.schema)
+    return by_batch(with_references(docs, limits, "doc_id", "text", "lang"), work, docs.schema, "text")

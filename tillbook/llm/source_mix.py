@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.columns import WORD
+from tillbook.llm.columns import WORD, free_names
 from tillbook.sources.scratch import write_scratch
 
 #: Words in a block.
@@ -222,11 +222,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Columns are those of ``docs``; documents of which the mix takes less than half go.
     Repeated rows share what they are taken together.
     """
+    key, shuffled, copies, copy = free_names(docs, "key", "shuffled", "copies", "copy")
     taken = mix(docs).documents.filter("size > 0").groupBy("k", "shuffled").agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("__copies")
+        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("times")
     )
-    taken = taken.filter("__copies > 0").select(
-        F.col("k").alias("__k"), F.col("shuffled").alias("__shuffled"), F.expr("sequence(1, __copies)").alias("__copies")
+    taken = taken.filter("times > 0").select(
+        F.col("k").alias(key), F.col("shuffled").alias(shuffled), F.expr("sequence(1, times)").alias(copies)
     )
-    same = (_key(docs["source"].cast("string")) == F.col("__k")) & (F.xxhash64(docs["doc_id"], docs["text"]) == F.col("__shuffled"))
-    return docs.join(taken.hint("shuffle_hash"), same).withColumn("__copy", F.explode("__copies")).select(*docs.columns)
+    same = (_key(docs["source"].cast("string")) == F.col(key)) & (F.xxhash64(docs["doc_id"], docs["text"]) == F.col(shuffled))
+    met = docs.join(taken.hint("shuffle_hash"), same).withColumn(copy, F.explode(copies))
+    return met.select(*[F.col(f"`{c}`") for c in docs.columns])
