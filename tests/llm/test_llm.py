@@ -384,5 +384,5 @@ def test_pipeline_stage_by_stage(spark, docs):
 
 def test_registered(spark):
     names = registry.queries()
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert names["pipeline"](spark, SF_DIR).count() > 0
