@@ -27,7 +27,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 
 from tillbook.llm.blocks import blocks_of, by_bucket, n_buckets, pack, pack_ids, unpack, unpack_ids
-from tillbook.llm.columns import id_and_text
+from tillbook.llm.columns import id_and_text, tidy
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -117,10 +117,10 @@ def encode(
         flat = pa.array(np.frombuffer(b"".join(values), np.int32), pa.int32())
         return pa.table({"doc_id": pa.array(docs_, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)})
 
-    asked = texts.select("doc_id", "text").mapInArrow(ask, "bucket int, block bigint, words binary")
-    answers = asked.groupBy("bucket").applyInArrow(merge, "block bigint, words binary, ids binary")
-    kept = texts.mapInArrow(keep, "block bigint, docs binary, texts binary")
-    return kept.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(place, "doc_id bigint, ids array<int>")
+    asked = texts.select("doc_id", "text").mapInArrow(tidy(ask), "bucket int, block bigint, words binary")
+    answers = asked.groupBy("bucket").applyInArrow(tidy(merge), "block bigint, words binary, ids binary")
+    kept = texts.mapInArrow(tidy(keep), "block bigint, docs binary, texts binary")
+    return kept.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(tidy(place), "doc_id bigint, ids array<int>")
 
 
 def _table(ranks: bytes) -> list[bytes]:
@@ -156,7 +156,7 @@ def decode(encoded: DataFrame, ranks_path: str, digests_only: bool = False) -> D
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column, pa.array(decoded, pa.binary())], names=["doc_id", "ids", "decoded"])
 
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digests_only else "ids array<int>, decoded binary"
-    return encoded.mapInArrow(run, f"doc_id bigint, {schema}")
+    return encoded.mapInArrow(tidy(run), f"doc_id bigint, {schema}")
 
 
 def digest(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

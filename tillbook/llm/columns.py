@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import inspect
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,6 +43,48 @@ def binary(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def tidy(task: Callable) -> Callable:
+    """A task that gives the memory it used back to the machine when it ends.
+
+    Python workers are kept for later stages, and freed memory with them: without this, a
+    worker stays as large as its largest task for as long as the job runs.
+    """
+
+    def ended() -> None:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries do without
+            ctypes.CDLL(None).malloc_trim(0)
+
+    if inspect.isgeneratorfunction(task):
+
+        def generated(batches):
+            try:
+                yield from task(batches)
+            finally:
+                ended()
+
+        return generated
+    # Group tasks are told apart by their number of arguments.
+    if len(inspect.signature(task).parameters) == 2:
+
+        def of_two(left, right):
+            try:
+                return task(left, right)
+            finally:
+                ended()
+
+        return of_two
+
+    def of_one(group):
+        try:
+            return task(group)
+        finally:
+            ended()
+
+    return of_one
+
+
 #: Bytes of texts that a Python task holds as objects of their own at a time.
 HELD_BYTES = 4 << 20
 
@@ -69,7 +115,7 @@ def by_batch(
             if batch.num_rows and (out := work(batch)) is not None:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def running_sum(lengths: Column, chunk: int = 256) -> Column:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.columns import binary, free_names, id_and_text, small
+from tillbook.llm.columns import binary, free_names, id_and_text, small, tidy
 from tillbook.llm.components import components
 from tillbook.sources.scratch import write_scratch
 
@@ -138,7 +138,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     """The pairs (a, b) whose full sets are similar enough."""
     of = lambda n: texts.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}"))
     told = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b")
-    return told.mapInArrow(_confirm(width, percent), "a binary, b binary").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return told.mapInArrow(tidy(_confirm(width, percent)), "a binary, b binary").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def _shingles(width: int):
@@ -167,7 +167,7 @@ def _alike(apart: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     rare ones go first, so shingles that many classes have are in few prefixes. A shingle of
     one class only takes a place but makes no pairs.
     """
-    found = write_scratch(apart.select("node").join(texts, "node").mapInArrow(_shingles(width), "node binary, shingle bigint"))
+    found = write_scratch(apart.select("node").join(texts, "node").mapInArrow(tidy(_shingles(width)), "node binary, shingle bigint"))
     often = found.groupBy("shingle").agg(F.count("*").alias("f")).filter("f > 1")
     by_node = Window.partitionBy("node")
     known = found.join(often, "shingle").select(
@@ -203,7 +203,7 @@ def classes(docs: DataFrame, width: int = 4, percent: int = 80, id_col: str = "d
     """
     texts = id_and_text(docs, id_col, text_col)
     rows = write_scratch(
-        texts.mapInArrow(_sketch(width), "doc_id bigint, text_key string, n_shingles bigint, node binary, bands array<bigint>")
+        texts.mapInArrow(tidy(_sketch(width)), "doc_id bigint, text_key string, n_shingles bigint, node binary, bands array<bigint>")
     )
     full = rows.filter("node IS NOT NULL")
     nodes = write_scratch(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.columns import binary, by_batch, free_names, small
+from tillbook.llm.columns import binary, by_batch, free_names, small, tidy
 from tillbook.sources.scratch import write_scratch
 
 #: Character classes, told by the byte (by the first byte of a longer character).
@@ -185,7 +185,7 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def references(source: DataFrame, limits: Limits) -> DataFrame:
     """One row per language: its common words, their counts with the others' last, and its
     character classes. Rows without a language are in none."""
-    sums = source.filter("lang IS NOT NULL").mapInArrow(_count_task, "lang string, word binary, kind int, n bigint")
+    sums = source.filter("lang IS NOT NULL").mapInArrow(tidy(_count_task), "lang string, word binary, kind int, n bigint")
     sums = write_scratch(sums.groupBy("lang", "word", "kind").agg(F.sum("n").alias("n")))
     total = sums.groupBy("lang").agg(F.sum(F.when(F.col("kind") == 0, F.col("n")).otherwise(0)).alias("total"))
     # Only the first rows of each group are kept before the shuffle.
