@@ -141,7 +141,10 @@ def _is_card(groups: Column) -> Column:
 
 def _cards(m: Column, key: str) -> Column:
     """A run of digits with its cards marked, and their pseudonyms: from the left, and of the
-    fewest groups. Other digits stay for the other rules."""
+    fewest groups. Other digits stay for the other rules.
+
+    The walk notes only where cards stand, so a long run without any costs a step a group.
+    """
     groups = F.regexp_extract_all(m, F.lit("[0-9]+"), F.lit(0))
     gaps = F.concat(F.regexp_extract_all(m, F.lit("[ -]"), F.lit(0)), F.array(F.lit("")))
 
@@ -152,23 +155,38 @@ def _cards(m: Column, key: str) -> Column:
             fits = F.filter(
                 F.sequence(F.lit(1), F.least(F.lit(CARD_GROUPS), F.size(g) - i + 1)), lambda n: _is_card(F.slice(g, i, n))
             )
-
-            def put(n: Column) -> Column:
-                inner = F.concat(F.slice(gap, i, n - 1), F.array(F.lit("")))
-                card = F.array_join(F.zip_with(F.slice(g, i, n), inner, lambda a, b: F.concat(a, b)), "")
-                return F.struct(
-                    (i + n - 1).alias("done"),
-                    F.concat(s["text"], F.lit(MARK), F.element_at(gap, i + n - 1)).alias("text"),
-                    F.concat(s["values"], F.array(_card(card, key))).alias("values"),
-                )
-
-            keep = F.struct(i.alias("done"), F.concat(s["text"], F.element_at(g, i), F.element_at(gap, i)).alias("text"), s["values"].alias("values"))
-            found = _let(F.try_element_at(fits, F.lit(1)), lambda n: F.when(n.isNull(), keep).otherwise(put(n)))
+            put = lambda n: F.struct(
+                (i + n - 1).alias("done"), F.concat(s["cards"], F.array(F.struct(i.alias("i"), n.alias("n")))).alias("cards")
+            )
+            found = _let(F.try_element_at(fits, F.lit(1)), lambda n: F.when(n.isNull(), s).otherwise(put(n)))
             return F.when(i <= s["done"], s).otherwise(found)
 
-        start = F.struct(F.lit(0).alias("done"), F.lit("").alias("text"), F.expr("CAST(array() AS array<string>)").alias("values"))
+        none = F.expr("CAST(array() AS array<struct<i:int,n:int>>)")
+        start = F.struct(F.lit(0).alias("done"), none.alias("cards"))
         end = F.aggregate(F.sequence(F.lit(1), F.size(g)), start, step)
-        return _let(end, lambda e: F.struct(e["text"].alias("text"), e["values"].alias("values")))
+
+        def plain(first: Column, after: Column) -> Column:
+            """Groups and gaps as they stand, from one place to before another."""
+            n = after - first
+            return F.array_join(F.zip_with(F.slice(g, first, n), F.slice(gap, first, n), lambda a, b: F.concat(a, b)), "")
+
+        def card(c: Column) -> Column:
+            inner = F.concat(F.slice(gap, c["i"], c["n"] - 1), F.array(F.lit("")))
+            return _card(F.array_join(F.zip_with(F.slice(g, c["i"], c["n"]), inner, lambda a, b: F.concat(a, b)), ""), key)
+
+        def told(cards: Column) -> Column:
+            after = lambda c: F.coalesce(c["i"] + c["n"], F.lit(1))
+            before = lambda k: F.try_element_at(cards, k)  # noqa: E731  the card before the k-th, counted from 0
+            pieces = F.transform(
+                cards,
+                lambda c, k: F.concat(
+                    plain(F.when(k > 0, after(before(k))).otherwise(1), c["i"]), F.lit(MARK), F.element_at(gap, c["i"] + c["n"] - 1)
+                ),
+            )
+            rest = plain(after(F.try_element_at(cards, F.lit(-1))), F.size(g) + 1)
+            return F.struct(F.concat(F.array_join(pieces, ""), rest).alias("text"), F.transform(cards, card).alias("values"))
+
+        return _let(end["cards"], told)
 
     return _let(F.struct(groups.alias("g"), gaps.alias("s")), walk)
 
