@@ -147,6 +147,33 @@ def test_two_stage_sorting():
     assert sorted(order.tolist()) == [i for i in range(len(text)) if text[i]] and got == sorted(got)
 
 
+def test_anchors_and_hashes_are_found_piece_by_piece(monkeypatch):
+    """The same anchors, hashes and repeats whatever the piece, and no piece as long as the block."""
+    draw = random.Random(9)
+    base = [bytes(draw.randrange(256) for _ in range(900)), b"ab" * 400, b"x" * 700]
+    texts = [b"", b"short", *base, base[0][100:600], *(bytes(draw.choice(b"ab ") for _ in range(n)) for n in (199, 200, 201, 350, 1500)), base[1][:300]]
+    regions = [t[i : i + 230] for t in texts for i in range(0, len(t) - 199, 97) if len(t) >= 200]
+    places, low = np.arange(len(regions)) * 1000, np.zeros(len(regions), np.int64)
+    high = np.array([len(r) - 200 for r in regions])
+    seen, hashes = [], repeats.window_hashes
+    monkeypatch.setattr(repeats, "window_hashes", lambda t: seen.append(len(t)) or hashes(t))
+    found = []
+    for piece in (1 << 30, 64, 256):
+        monkeypatch.setattr(repeats, "PIECE", piece)
+        seen.clear()
+        anchors = repeats.Block(texts).anchors()
+        assert max(seen) <= piece + repeats.SPREAD + repeats.LENGTH
+        assert np.array_equal(repeats.Block(texts).anchors(contexts=False)[1], anchors[1])
+        starts = repeats.repeated_starts(regions, places, low, high)
+        found.append([x.tolist() for x in anchors] + [sorted(map(tuple, starts.tolist()))])
+    assert found[0] == found[1] == found[2] and len(found[0][0]) > 50
+    where = {}
+    for i, r in enumerate(regions):
+        for o in range(len(r) - 199):
+            where.setdefault(r[o : o + 200], []).append((i, o))
+    assert found[0][3] == sorted(p for at in where.values() if len(at) > 1 for p in at)
+
+
 def test_secrets(docs, rows):
     def listed(spans):
         return ",".join(f"{k}:{a}:{b}" for a, _, b, k in spans)

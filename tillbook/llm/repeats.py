@@ -35,6 +35,8 @@ LENGTH, WINDOW = 200, 100
 #: Windows that a string of LENGTH bytes has.
 SPREAD = LENGTH - WINDOW + 1
 BLOCK_BYTES = 2 << 20
+#: Positions hashed together: few enough for a core's cache.
+PIECE = 1 << 14
 #: Regions sorted together.
 CONTEXTS_A_TASK = 4_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -83,31 +85,54 @@ class Block:
     def doc_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, at, "right")
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(position, hash, context hash) of the anchors."""
+    def anchors(self, contexts: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, hash, context hash) of the anchors; without ``contexts`` the last are not to be used."""
         n = len(self.text)
-        if n < LENGTH:
-            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
         left = np.repeat(self.ends, self.sizes) - np.arange(n)  # bytes to the text's end
-        h = window_hashes(self.text)
-        least = _sliding(h, SPREAD, np.minimum)
-        least[left < LENGTH] = 0
-        # Position i is an anchor if it is the least of some string that starts up to SPREAD - 1 before.
-        most = _sliding(least[::-1], SPREAD, np.maximum)[::-1]
-        at = np.flatnonzero((most == h) & (left >= WINDOW) & (h > 0))
+        found = [self._anchors_between(a, min(a + PIECE, n), left) for a in range(0, n if n >= LENGTH else 0, PIECE)]
+        none = np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+        at, h, context = (np.concatenate(x) for x in zip(none, *found, strict=True))
+        if not contexts:
+            return at, h, context
         doc = self.doc_of(at)
         before, after = at - self.starts[doc], self.ends[doc] - at
         whole = (before >= WINDOW) & (after >= LENGTH)
-        far = np.minimum(at + WINDOW, n - 1)
-        context = (h[at - WINDOW * (at >= WINDOW)] * MIX + h[at]) * MIX + h[far]
         for i in np.flatnonzero(~whole).tolist():
             a, b = int(at[i] - min(WINDOW, before[i])), int(at[i] + min(LENGTH, after[i]))
             context[i] = xxhash.xxh3_64_intdigest(self.buffer[a:b], int(at[i]) - a)
-        return at, h[at], context
+        return at, h, context
+
+    def _anchors_between(self, a: int, b: int, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Anchors from a to b, with the context hashes of those that have all of their context."""
+        # An anchor is told by the strings that start up to SPREAD - 1 before, and those by LENGTH bytes.
+        low, high = max(0, a - SPREAD), min(b + LENGTH, len(self.text))
+        left = left[low:high]
+        h = window_hashes(self.text[low:high])
+        least = _sliding(h, SPREAD, np.minimum)
+        least[left < LENGTH] = 0
+        # Position i is an anchor if it is the least of some string that starts up to SPREAD - 1 before.
+        most = _sliding(least[::-1], SPREAD, np.maximum)[::-1]
+        at = np.flatnonzero((most == h) & (left >= WINDOW) & (h > 0))
+        at = at[(at >= a - low) & (at < b - low)]
+        far = np.minimum(at + WINDOW, len(h) - 1)
+        return at + low, h[at], (h[at - WINDOW * (at >= WINDOW)] * MIX + h[at]) * MIX + h[far]
 
 
 def prefix_hashes(text: np.ndarray, region_end: np.ndarray) -> np.ndarray:
     """Hash of the first LENGTH bytes of each suffix, or of what its region has (128 + 64 + 8)."""
+    n = len(text)
+    out = np.empty(n, np.uint64)
+    a = 0
+    while a < n:
+        # No last piece below LENGTH: hashes of few positions skip steps.
+        b = a + PIECE if a + PIECE + LENGTH <= n else n
+        high = min(b + LENGTH, n)
+        out[a:b] = _prefix_hashes(text[a:high], region_end[a:high] - a)[: b - a]
+        a = b
+    return out
+
+
+def _prefix_hashes(text: np.ndarray, region_end: np.ndarray) -> np.ndarray:
     left = region_end - np.arange(len(text))
     h = {1: np.where(text > 0, (text.astype(np.uint64) + np.uint64(1)) * MIX, np.uint64(0))}
 
@@ -126,6 +151,12 @@ def prefix_hashes(text: np.ndarray, region_end: np.ndarray) -> np.ndarray:
     return whole ^ np.minimum(left, LENGTH).astype(np.uint64)
 
 
+def _still_tied(where: np.ndarray, parted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of ``where`` with an equal neighbour, and their groups; ``parted``: which differ from the next."""
+    tied = np.concatenate((~parted, [False])) | np.concatenate(([False], ~parted))
+    return where[tied], np.concatenate(([0], np.cumsum(parted)))[tied]
+
+
 def suffix_array(text: np.ndarray, region_end: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Suffixes in order of their first LENGTH bytes at least, by two-stage sorting.
 
@@ -144,30 +175,33 @@ def suffix_array(text: np.ndarray, region_end: np.ndarray, words: np.ndarray) ->
     # Stage one: direct sort of the small ones, eight bytes at a time, ties only.
     direct = np.flatnonzero(small & (text > 0))
     if len(direct):
-        _, once, which = np.unique(prefix_hashes(text, region_end)[direct], return_index=True, return_inverse=True)
-        order = direct[once]
-        turn = np.argsort(words[order], kind="stable")
+        hashes = prefix_hashes(text, region_end)[direct]
+        turn = np.argsort(hashes)
+        hashes = hashes[turn]
+        fresh = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+        order = direct[turn[fresh]]
+        which = np.empty(len(direct), np.int64)
+        which[turn] = np.cumsum(fresh) - 1
+        turn = np.argsort(words[order])
         order, came = order[turn], turn
-        group = np.concatenate(([0], np.cumsum(np.diff(words[order]) != 0)))
+        # Of the sorted only those still tied, and the group of each.
+        where, group = _still_tied(np.arange(len(order)), words[order][1:] != words[order][:-1])
         for depth in range(8, LENGTH, 8):
-            tied = np.zeros(len(order), bool)
-            same = group[1:] == group[:-1]
-            tied[1:] |= same
-            tied[:-1] |= same
-            where = np.flatnonzero(tied)
             if not len(where):
                 break
             at = order[where] + depth
             key = np.where(at < region_end[order[where]], words[np.minimum(at, n - 1)], np.uint64(0))
-            turn = np.lexsort((key, group[where]))
-            order[where], came[where] = order[where][turn], came[where][turn]
-            key, g = key[turn], group[where]
-            fresh = np.zeros(len(order), np.int64)
-            fresh[where[1:]] = (g[1:] == g[:-1]) & (key[1:] != key[:-1])
-            group = np.cumsum(np.concatenate(([0], (group[1:] != group[:-1]).astype(np.int64))) + fresh)
+            # Groups that go on alike stay as they are.
+            unlike = np.zeros(group[-1] + 1, bool)
+            unlike[group[1:][(group[1:] == group[:-1]) & (key[1:] != key[:-1])]] = True
+            rows = np.flatnonzero(unlike[group])
+            turn = rows[np.lexsort((key[rows], group[rows]))]
+            here, moved = where[rows], where[turn]
+            order[here], came[here], key[rows] = order[moved], came[moved], key[turn]
+            where, group = _still_tied(where, (group[1:] != group[:-1]) | (key[1:] != key[:-1]))
         rank = np.empty(len(order), np.int64)
         rank[came] = np.arange(len(order))
-        order = direct[np.argsort(rank[which], kind="stable")]
+        order = direct[np.argsort(rank[which])]
     else:
         order = direct
 
@@ -201,13 +235,18 @@ def suffix_array(text: np.ndarray, region_end: np.ndarray, words: np.ndarray) ->
 def first_words(text: np.ndarray, region_end: np.ndarray) -> np.ndarray:
     """The eight bytes from each position as one big-endian number, zeros past the region."""
     n = len(text)
-    raw = np.where(text > 0, text - np.uint16(1), np.uint16(0)).astype(np.uint8)
-    bytes_ = np.zeros((n, 8), np.uint8)
-    for i in range(8):
-        bytes_[: n - i, i] = raw[i:]
-    for i in range(1, 8):  # the last positions of each region
-        bytes_[np.flatnonzero(region_end - np.arange(n) <= i), i] = 0
-    return bytes_.view(">u8").ravel().astype(np.uint64)
+    out = np.where(text > 0, text - np.uint16(1), np.uint16(0)).astype(np.uint64)
+    for size in (1, 2, 4):
+        after = out[size:].copy()
+        out <<= np.uint64(8 * size)
+        out[: n - size] |= after
+    left = region_end - np.arange(n)
+    short = np.flatnonzero(left < 8)  # the last positions of each region
+    lost = np.uint64(8) * (np.uint64(8) - left[short].astype(np.uint64))
+    # In two halves, as no number is shifted by all of its bits.
+    half = lost >> np.uint64(1)
+    out[short] = out[short] >> half >> half << half << half
+    return out
 
 
 def repeated_starts(regions: list[bytes], places: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -235,15 +274,20 @@ def repeated_starts(regions: list[bytes], places: np.ndarray, low: np.ndarray, h
     for depth in range(0, LENGTH, 8):
         going = going[words[order[going] + depth] == words[order[going + 1] + depth]]
         common[going] = depth + 8
-    group = np.concatenate(([0], np.cumsum(common < LENGTH)))
+    first = np.concatenate(([0], np.flatnonzero(common < LENGTH) + 1))
     absolute = places[region[order]] + offset[order]
-    lowest, highest = np.full(group[-1] + 1, np.iinfo(np.int64).max), np.full(group[-1] + 1, -1)
-    np.minimum.at(lowest, group, absolute)
-    np.maximum.at(highest, group, absolute)
-    hit = order[(lowest != highest)[group]]
+    several = np.minimum.reduceat(absolute, first) != np.maximum.reduceat(absolute, first)
+    hit = order[np.repeat(several, np.diff(first, append=len(order)))]
     return np.stack([region[hit], offset[hit]], axis=1)
 
 
+def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for texts in batch.column("texts").to_pylist():
+            _, h, _ = Block(unpack(texts)).anchors(contexts=False)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["anchor"])
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block, texts in zip(batch.column("block").to_pylist(), batch.column("texts").to_pylist(), strict=True):
@@ -346,7 +390,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     stored = write_scratch(id_and_text(docs, id_col, text_col).mapInArrow(_blocks, "block bigint, docs binary, texts binary"))
     anchors = stored.select("block", "texts").mapInArrow(_anchor_rows, "anchor bigint, context bigint, block bigint, at int")
-    twice = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    twice = stored.select("texts").mapInArrow(_anchor_hashes, "anchor bigint").groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     repeated = write_scratch(anchors.join(twice, "anchor", "left_semi"))
 
     kinds = repeated.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("block", "at")).alias("example"))
