@@ -16,6 +16,7 @@ from tillbook.operators import columns, profile, quality
 from tillbook.operators.numbering import number_all, number_within
 from tillbook.operators.ordering import sort_over_ranges
 from tillbook.operators.quantiles import describe_ints
+from tillbook.sources.scratch import write_scratch_by_partition
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +50,20 @@ def test_number_within(skewed):
     assert {r["id"]: r["n"] for r in out.collect()} == expected_numbers(rows, lambda g: g)
 
 
+def test_rows_of_partitions_beyond_those_promised_are_kept(spark):
+    stored = write_scratch_by_partition(spark.range(0, 1000, 1, 7), "part", 3)
+    found = {r["part"]: r["n"] for r in stored.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    assert len(found) == 7 and sum(found.values()) == 1000 and None not in found
+
+
+def test_number_within_where_more_ranges_are_made_than_asked_for(spark, skewed, monkeypatch):
+    rows, df = skewed
+    kind, deal = type(df), type(df).repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda self, n, *cols: deal(self, max(n, 29), *cols))
+    out = number_within(df, ["g"], [F.col("k"), F.col("id")], "n")
+    assert {r["id"]: r["n"] for r in out.collect()} == expected_numbers(rows, lambda g: g)
+
+
 def test_number_within_ties_use_each_number_once(skewed):
     rows, df = skewed
     out = number_within(df, ["g"], [F.col("k")], "n").filter("g = 'hot'")

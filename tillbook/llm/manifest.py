@@ -163,7 +163,7 @@ def proofs(docs: DataFrame, changed: DataFrame | None = None) -> DataFrame:
     payload = ("doc_id", "changed")
     tiers = _tiers(ranked, payload)
     subroots = tiers[-1].select(F.col("grp").alias("source"), "h")
-    over = number_within(subroots, [], [F.asc_nulls_first("source")], "rank")
+    over = number_within(subroots, [], [F.asc_nulls_first("source")], "rank", stored=True)
     over = over.select(F.lit(0).alias("grp"), (F.col("rank") - 1).alias("rank"), "h", "source")
     sources = _tiers(over, ("source",))
     none = F.expr(f"CAST(array() AS array<{_STEP}>)")
