@@ -150,3 +150,37 @@ def test_every_query_finds_k(spark):
     group[0] = -group[1:].mean(axis=0)
     rows = found(np.concatenate((group, np.repeat(group[20:21], 9, 0))), [0, *range(20, 320), *[39] * 9])
     assert sorted(r["rank"] for r in rows if r["query_id"] == 0) == [1, 2, 3, 4, 5]
+
+
+def test_lm_scores_blocks_where_they_lie(spark):
+    rows = [(i, t.decode()) for i, t in enumerate(some_texts(30))] + [(30, None), (31, " "), (None, "a b")]
+    out = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Texts and slots, stored with their answers, are not shuffled once more.
+    assert "MapInArrow" in plan and "Exchange" not in plan and "CoGroups" not in plan
+    assert sorted(r["doc_id"] for r in out.collect() if r["doc_id"] is not None) == list(range(32))
+
+
+def test_lm_numbers_take_the_bytes_they_need():
+    rng = np.random.default_rng(3)
+    for numbers in ([], [0], [255], [256, 0], [1 << 16], [(1 << 62) + 1, 7], rng.integers(0, 1 << 40, 5000)):
+        numbers = np.array(numbers, np.int64)
+        assert lm_score._unpack_numbers(lm_score._pack_numbers(numbers)).tolist() == numbers.tolist()
+        ordered = np.sort(numbers)
+        assert lm_score._unpack_slots(lm_score._pack_slots(ordered)).tolist() == ordered.tolist()
+    # Where slots begin does not widen the steps between them.
+    steps = np.cumsum(rng.integers(1, 200, 5000))
+    assert len(lm_score._pack_slots(steps + (1 << 40))) == len(lm_score._pack_slots(steps))
+
+
+def test_lm_sorts_numbers_of_any_size():
+    rng = np.random.default_rng(4)
+    for most in (5, 1 << 40, (1 << 63) - 1):  # the last does not fit one word with its place
+        numbers = rng.integers(0, most, 3000)
+        ordered, order = model._ordered(numbers)
+        assert ordered.tolist() == sorted(numbers.tolist())
+        assert numbers[order].tolist() == ordered.tolist() and sorted(order.tolist()) == list(range(3000))
+    runs = [np.unique(rng.integers(0, 50, 30)) for _ in range(4)]
+    counts = rng.integers(0, 9, sum(map(len, runs)))
+    joined = np.concatenate(runs)
+    assert model.sums_of_equal(runs, counts)[0].tolist() == [int(counts[joined == x].sum()) for x in joined]
