@@ -152,6 +152,63 @@ def test_every_query_finds_k(spark):
     assert sorted(r["rank"] for r in rows if r["query_id"] == 0) == [1, 2, 3, 4, 5]
 
 
+def test_parts_and_blocks_meet_where_they_are_stored(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(900, 16))
+    vectors[500:520] = vectors[7]
+    ids = [*range(880), *[3] * 20]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<float>").repartition(5)
+    is_query = nearest.F.col("vec_id") % 3 == 0
+    want = sorted(map(tuple, nearest.search(frame, is_query).collect()))
+    plans, write = [], nearest.write_scratch
+
+    def written(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *args, **kwargs)
+
+    monkeypatch.setattr(nearest, "write_scratch", written)
+    monkeypatch.setattr(nearest, "PART_ROWS", 32)
+    assert sorted(map(tuple, nearest.search(frame, is_query).collect())) == want
+    # Blocks of queries are not copied to each part, nor are parts shuffled.
+    assert not any("Generate" in p or "SortMergeJoin" in p for p in plans) and any("CartesianProduct" in p for p in plans)
+
+
+def test_nearest_compares_all_that_is_reached(monkeypatch):
+    monkeypatch.setattr(nearest, "TILE", (16, 80))
+    monkeypatch.setattr(nearest, "PAIR_BYTES", 16 * 8 * 50)
+    rng = np.random.default_rng(6)
+    raw = rng.normal(size=(700, 8)).astype(np.float32)
+    raw[300:340], raw[600:640] = raw[5], raw[60:100] * np.float32(8)
+    ids = rng.permutation(np.concatenate((np.arange(650), np.arange(50))))
+    codes = nearest.codes_of(nearest._scaled(raw), nearest.learn_rotation(nearest._scaled(raw)))
+    of = lambda rows: nearest.Packed(ids[rows], codes[rows], raw[rows])
+    block = of(np.arange(0, 700, 9))
+    for radius, limit in ((1, 12), (6, 36), (6, 64), (None, 64)):
+        best = nearest.Best(len(block.ids), 5)
+        for start in range(0, 700, 210):
+            nearest.compare(block, of(np.arange(start, min(700, start + 210))), best, radius, limit)
+        for at in range(len(block.ids)):
+            scores: dict = {}
+            for row, v in enumerate(raw.astype(float)):
+                apart = int(codes[row] ^ block.codes[at])
+                near = radius is None or min((apart >> 16 * i & 65535).bit_count() for i in range(4)) <= radius
+                if near and apart.bit_count() <= limit and ids[row] != block.ids[at]:
+                    cosine = v @ block.vectors[at] / np.linalg.norm(v) / block.norms[at]
+                    scores[int(ids[row])] = max(scores.get(int(ids[row]), -9), round(float(cosine), 12))
+            told = sorted(((-s, i) for i, s in scores.items()))[:5]
+            got = [(-round(float(s), 12), int(i)) for i, s in zip(best.ids[at], best.scores[at], strict=True) if s > -np.inf]
+            assert got == told
+
+
+def test_nearest_samples_the_least_hashes(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "SAMPLE", 100)
+    for ids in (range(5000), [1] * 3000 + [2], range(40)):
+        vectors = spark.createDataFrame([(i, [float(at)]) for at, i in enumerate(ids)], "vec_id long, embedding array<double>").repartition(4)
+        least = vectors.select(nearest.F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id").limit(100).collect()
+        got = [ids[int(v[0])] for v in nearest._sample(vectors, len(ids)).column("embedding").to_pylist()]
+        assert got == [r["vec_id"] for r in least]
+
+
 def test_lm_numbers_take_the_bytes_they_need():
     rng = np.random.default_rng(3)
     for numbers in ([], [0], [255], [256, 0], [1 << 16], [(1 << 62) + 1, 7], rng.integers(0, 1 << 40, 5000)):

@@ -4,37 +4,46 @@ A rotation learned on a bounded sample (alternating between binary codes and the
 rotation towards them) turns each vector into BITS signs. Codes are split into
 SUBSTRINGS; each is an index of its own. If two codes differ in at most
 SUBSTRINGS * (radius + 1) - 1 places, some substring differs in at most ``radius``, so
-probing every value within ``radius`` of a query's substrings retrieves every code
-within that Hamming distance (and many beyond). What is retrieved is reranked by the
+taking every vector within ``radius`` of a query in some substring finds every code
+within that Hamming distance (and many beyond). What is found is ranked by the
 exact cosine of the original vectors. Queries that find fewer than they ask for search
 again, first without a limit of distance and then through all vectors.
 
-The index is cut into parts of about PART_ROWS vectors by the hash of their ids, so equal
-vectors spread evenly. Blocks of queries meet each part in one task, which returns only
-each query's best of the part.
+Vectors lie packed in parts, queries in blocks, both stored once; nothing is copied for
+each other's sake. Each task reads a run of parts and a few blocks, and works through
+them tile by tile: a product of short floats tells which pairs could still be among a
+query's best, only their codes and exact cosines are worked out, and the task returns
+only each query's best of its parts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
+from tillbook.llm.columns import tidy
 from tillbook.sources.scratch import write_scratch
 
 BITS, SUBSTRINGS, RADIUS = 64, 4, 6
 WIDTH = BITS // SUBSTRINGS
-#: Codes further apart than this are not reranked.
+#: Codes further apart than this are not ranked.
 RERANK_DISTANCE = 36
 #: Vectors on which the rotation is learned, those with the least id hashes.
 SAMPLE = 20_000
-PART_ROWS, QUERY_ROWS = 8_192, 1_024
-#: Pairs reranked at once in a task.
-PAIRS = 1 << 16
+#: Vectors of a part or a block: so many, or fewer if their doubles take more bytes.
+PART_ROWS, PART_BYTES = 8_192, 8 << 20
+#: A task meets about so many vectors of the index, and blocks of so many bytes, as it holds them.
+TASK_ROWS, TASK_BYTES = 1 << 20, 48 << 20
+#: Queries and vectors compared at once, and the bytes of pairs whose cosines are worked out at once.
+TILE, PAIR_BYTES = (512, 4_096), 16 << 20
+#: Parts are large rows: a row group ends by bytes, not after a hundred rows.
+SMALL_GROUPS = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1}
 
 
 def learn_rotation(sample: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -65,53 +74,75 @@ def _substrings(codes: np.ndarray) -> np.ndarray:
     return ((codes[:, None] >> shifts) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
 
 
-def _masks(radius: int) -> np.ndarray:
-    """All substring differences of at most ``radius`` bits."""
-    return np.array([sum(1 << b for b in c) for k in range(radius + 1) for c in combinations(range(WIDTH), k)], np.int64)
-
-
-class Part:
-    """Vectors of one part with an index per substring: rows sorted by its value."""
-
-    def __init__(self, ids: np.ndarray, codes: np.ndarray, vectors: np.ndarray):
-        self.ids, self.codes, self.vectors = ids, codes, vectors
-        self.norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-        self.repeats = len(np.unique(ids)) < len(ids)
-        values = _substrings(codes)
-        self.order = [np.argsort(v, kind="stable") for v in values.T]
-        # Where each value's rows start; one more entry than values.
-        self.starts = [np.searchsorted(v[o], np.arange((1 << WIDTH) + 1)) for v, o in zip(values.T, self.order, strict=True)]
-
-    def retrieve(self, code: np.uint64, masks: np.ndarray) -> np.ndarray:
-        """Rows that share a substring with ``code`` within the probed distance."""
-        held = np.zeros(len(self.ids), bool)
-        for value, order, starts in zip(_substrings(np.array([code]))[0], self.order, self.starts, strict=True):
-            probes = value ^ masks
-            first, n = starts[probes], starts[probes + 1] - starts[probes]
-            # The rows of all probed values: each value's run of positions, end to end.
-            runs = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-            held[order[runs]] = True
-        return np.flatnonzero(held)
-
-    def best(self, query_id: int, code: np.uint64, vector: np.ndarray, masks: np.ndarray | None, limit: int, k: int):
-        """The ``k`` nearest ids of those retrieved within ``limit``; without ``masks`` of all."""
-        rows = np.arange(len(self.ids)) if masks is None else self.retrieve(code, masks)
-        rows = rows[np.bitwise_count(self.codes[rows] ^ code) <= limit]
-        rows = rows[self.ids[rows] != query_id]
-        norm = np.sqrt(np.einsum("i,i->", vector, vector))
-        scores = np.concatenate(
-            [np.einsum("ij,j->i", self.vectors[r], vector) for r in np.array_split(rows, len(rows) // PAIRS + 1)]
-        ) / (self.norms[rows] * norm)
-        if self.repeats:
-            # The best row of each id.
-            order = np.lexsort((-scores, self.ids[rows]))
-            order = order[np.unique(self.ids[rows][order], return_index=True)[1]]
-            rows, scores = rows[order], scores[order]
-        if len(rows) > k:
-            least = np.partition(scores, len(scores) - k)[len(scores) - k]
-            rows, scores = rows[scores >= least], scores[scores >= least]
-        order = np.lexsort((self.ids[rows], -scores))[:k]
-        return self.ids[rows][order], scores[order]
+def reached(a: np.ndarray, b: np.ndarray, radius: int | None, limit: int) -> np.ndarray:
+    """Pairs of codes within ``radius`` in some substring, if given, and within ``limit``."""
+    apart = a ^ b
+    found = np.bitwise_count(apart) <= limit
+    if radius is not None:
+        found &= np.bitwise_count(_substrings(apart)).min(axis=1, initial=WIDTH) <= radius
+    return found
+
+
+class Packed:
+    """Vectors of a part or a block, as tasks compare them."""
+
+    def __init__(self, ids: np.ndarray, codes: np.ndarray, raw: np.ndarray):
+        self.ids, self.codes, self.vectors = ids, codes, _scaled(raw)
+        self.norms = np.sqrt(np.einsum("ij,ij->i", self.vectors, self.vectors))
+        self.unit = (self.vectors / self.norms[:, None]).astype(np.float32)
+
+
+class Best:
+    """The ``k`` nearest ids of each query of a block found so far, in order."""
+
+    def __init__(self, queries: int, k: int):
+        self.ids, self.scores = np.zeros((queries, k), np.int64), np.full((queries, k), -np.inf)
+        # Vectors that the queries of a tile have met.
+        self.met = np.zeros(queries // TILE[0] + 1, np.int64)
+
+    def add(self, queries: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """More finds; ``queries``: whose they are, by place. An id counts once, with its best score."""
+        again, k = np.unique(queries), self.scores.shape[1]
+        q = np.concatenate((np.repeat(again, k), queries))
+        i, s = np.concatenate((self.ids[again].ravel(), ids)), np.concatenate((self.scores[again].ravel(), scores))
+        self.scores[again] = -np.inf
+        order = np.lexsort((-s, i, q))
+        order = order[s[order] > -np.inf]
+        same = (q[order][1:] == q[order][:-1]) & (i[order][1:] == i[order][:-1])
+        order = order[np.concatenate(([True], ~same))]
+        order = order[np.lexsort((i[order], -s[order], q[order]))]
+        q, i, s = q[order], i[order], s[order]
+        starts = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
+        rank = np.arange(len(q)) - np.repeat(starts, np.diff(starts, append=len(q)))
+        kept = rank < k
+        self.ids[q[kept], rank[kept]], self.scores[q[kept], rank[kept]] = i[kept], s[kept]
+
+
+def compare(block: Packed, part: Packed, best: Best, radius: int | None, limit: int) -> None:
+    """Adds to ``best`` the vectors of the part that are reached and near enough."""
+    dims = block.unit.shape[1]
+    # More than twice what rounding to short floats, and adding them up, can change.
+    slack = (dims + 8) * 2.0**-23
+    pairs = max(1, PAIR_BYTES // (16 * dims))
+    for tile, start in enumerate(range(0, len(block.ids), TILE[0])):
+        some, at = slice(start, start + TILE[0]), 0
+        while at < len(part.ids):
+            # Few at first: until each query has found some, all pairs must be looked at.
+            end = at + min(TILE[1], max(64, 4 * int(best.met[tile])))
+            near = block.unit[some] @ part.unit[at:end].T
+            least = (best.scores[some, -1] - slack).astype(np.float32)
+            rows = np.flatnonzero(near.max(axis=1) >= least)
+            q, x = np.nonzero(near[rows] >= least[rows, None])
+            q, x = rows[q] + start, x + at
+            for i in range(0, len(q), pairs):
+                a, b = q[i : i + pairs], x[i : i + pairs]
+                kept = reached(block.codes[a], part.codes[b], radius, limit) & (block.ids[a] != part.ids[b])
+                a, b = a[kept], b[kept]
+                if len(a):
+                    scores = np.einsum("ij,ij->i", part.vectors[b], block.vectors[a]) / (part.norms[b] * block.norms[a])
+                    best.add(a, part.ids[b], scores)
+            best.met[tile] += near.shape[1]
+            at = end
 
 
 def usable(embedding: Column) -> Column:
@@ -121,29 +152,80 @@ def usable(embedding: Column) -> Column:
 
 
 def vectors_of(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    vectors = table.select(table[id_col].cast("bigint").alias("vec_id"), table[vector_col].cast("array<double>").alias("embedding"))
+    """Ids and vectors that take part; floats stay floats, other numbers become doubles."""
+    kind = table.select(table[vector_col]).schema[0].dataType
+    short = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
+    vectors = table.select(
+        table[id_col].cast("bigint").alias("vec_id"), table[vector_col].cast("array<float>" if short else "array<double>").alias("embedding")
+    )
     return vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
-    """A vector a row, scaled by a power of two to a largest component of 1/2 to 1.
+def _rows(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
+    """A vector a row, as stored."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Doubles, each vector scaled by a power of two to a largest component of 1/2 to 1.
 
     That changes no digit of a cosine, and products neither overflow nor vanish.
     """
-    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    rows = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+    rows = rows.astype(np.float64)
     return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, initial=0.0))[1][:, None])
 
 
-def _packed(vectors: DataFrame, key: Column, rotation: np.ndarray, dims: int, name: str) -> DataFrame:
-    """One row per group: the ids, codes and vectors of its rows as binary values."""
+PACKED = pa.schema([("place", pa.int64()), ("ids", pa.binary()), ("codes", pa.binary()), ("vectors", pa.binary())])
+
+
+def _pack(place: int, ids: np.ndarray, raw: np.ndarray, rotation: np.ndarray) -> pa.RecordBatch:
+    values = (place, ids.tobytes(), codes_of(_scaled(raw), rotation).tobytes(), raw.tobytes())
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, PACKED.types, strict=True)], schema=PACKED)
+
+
+def _parts(dims: int, rows: int, rotation: np.ndarray):
+    """Each task's vectors, packed as they come."""
 
-    def pack(table: pa.Table) -> pa.Table:
-        matrix = _matrix(table.column("embedding"), dims)
-        row = [table.column(name)[0].as_py(), table.column("vec_id").to_numpy().tobytes(), codes_of(matrix, rotation).tobytes(), matrix.tobytes()]
-        return pa.table([pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=[name, "ids", "codes", "vectors"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, ids, raw = TaskContext.get().partitionId() << 32, [], []
+        held = 0
+        for batch in batches:
+            start = 0
+            while start < batch.num_rows:
+                some = batch.slice(start, rows - held)
+                start, held = start + some.num_rows, held + some.num_rows
+                ids.append(some.column("vec_id").to_numpy())
+                raw.append(_rows(some.column("embedding"), dims))
+                if held == rows:
+                    yield _pack(place, np.concatenate(ids), np.concatenate(raw), rotation)
+                    place, ids, raw, held = place + 1, [], [], 0
+        if held:
+            yield _pack(place, np.concatenate(ids), np.concatenate(raw), rotation)
 
-    return vectors.withColumn(name, key.cast("bigint")).groupBy(name).applyInArrow(pack, f"{name} bigint, ids binary, codes binary, vectors binary")
+    return run
+
+
+def _blocks(dims: int, rotation: np.ndarray):
+    """A group's vectors, packed."""
+
+    def run(table: pa.Table) -> pa.Table:
+        packed = _pack(table.column("place")[0].as_py(), table.column("vec_id").to_numpy(), _rows(table.column("embedding"), dims), rotation)
+        return pa.Table.from_batches([packed])
+
+    return run
+
+
+def _sample(vectors: DataFrame, n: int) -> pa.Table:
+    """The SAMPLE vectors with the least id hashes, or all."""
+    order = F.xxhash64("vec_id")
+    # Hashes are spread evenly, so a few more than that lie below this one.
+    share = (SAMPLE + 8 * SAMPLE**0.5) / n
+    low = vectors.filter(order <= int((2 * share - 1) * 2.0**63)) if share < 1 else vectors
+    found = low.orderBy(order, "vec_id").limit(SAMPLE).select("embedding").toArrow()
+    if found.num_rows < min(SAMPLE, n):
+        found = vectors.orderBy(order, "vec_id").limit(SAMPLE).select("embedding").toArrow()
+    return found
 
 
 def search(
@@ -170,46 +252,59 @@ def search(
         return spark.createDataFrame([], schema)
     dims, n = size["dims"], size["n"]
     vectors = vectors.filter(F.size("embedding") == dims)
-    # Bounded: SAMPLE rows.
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow()
-    rotation = learn_rotation(_matrix(sample.column("embedding"), dims))
-    parts = n // PART_ROWS + 1
-    spread = F.xxhash64("vec_id", F.lit(1))
-    index = write_scratch(_packed(vectors, F.pmod(spread, F.lit(parts)), rotation, dims, "part"))
+    kind = np.float32 if isinstance(vectors.schema["embedding"].dataType.elementType, FloatType) else np.float64
+    rotation = learn_rotation(_scaled(_rows(_sample(vectors, n).column("embedding"), dims)))
+    rows = max(1, min(PART_ROWS, PART_BYTES // (8 * dims)))
+    packed = "place bigint, ids binary, codes binary, vectors binary"
+    # Few vectors in many files make few parts.
+    together = vectors.select("vec_id", "embedding").coalesce(n // rows + 1)
+    index = write_scratch(together.mapInArrow(tidy(_parts(dims, rows, rotation)), packed), **SMALL_GROUPS)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
-    def nearest(queries: DataFrame, n_queries: int, masks: np.ndarray | None, limit: int) -> DataFrame:
-        asked = _packed(queries, F.pmod(spread, F.lit(n_queries // QUERY_ROWS + 1)), rotation, dims, "block")
-        asked = asked.select("block", *[F.col(c).alias(f"q_{c}") for c in ("ids", "codes", "vectors")])
-        # Each block of queries goes to each part of the index; neither is ever whole in a task.
-        met = asked.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part")).join(index, "part")
+    def nearest(queries: DataFrame, n_queries: int, radius: int | None, limit: int) -> DataFrame:
+        place = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(n_queries // rows + 1)).cast("bigint")
+        blocks = queries.withColumn("place", place).groupBy("place").applyInArrow(tidy(_blocks(dims, rotation)), packed)
+        asked = write_scratch(blocks, **SMALL_GROUPS).select(*[F.col(c).alias(f"q_{c}") for c in PACKED.names])
+        # A task reads some of the blocks, all of which it holds, and parts one by one. Both come from
+        # where they are stored; with more cores than that gives tasks, tasks have fewer parts.
+        few = -(-n_queries * 12 * dims // TASK_BYTES) or 1
+        many = max(-(-n // TASK_ROWS), -(-4 * spark.sparkContext.defaultParallelism // few))
+        met = index.coalesce(many).hint("shuffle_replicate_nl").crossJoin(asked.coalesce(few))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            read = lambda v, kind: np.frombuffer(v, kind)
+            def read(batch: pa.RecordBatch, at: int, of: str) -> Packed:
+                ids, codes, raw = (np.frombuffer(batch.column(of + c)[at].as_buffer(), t) for c, t in (("ids", np.int64), ("codes", np.uint64), ("vectors", kind)))
+                return Packed(ids.copy(), codes.copy(), raw.reshape(-1, dims))
+
+            held: dict[int, tuple[Packed, Best]] = {}
+            now, part = None, None
             for batch in batches:
-                for row in batch.to_pylist():
-                    part = Part(read(row["ids"], np.int64), read(row["codes"], np.uint64), read(row["vectors"], np.float64).reshape(-1, dims))
-                    out = ([], [], [])
-                    for q, c, v in zip(read(row["q_ids"], np.int64), read(row["q_codes"], np.uint64), read(row["q_vectors"], np.float64).reshape(-1, dims), strict=True):
-                        ids, scores = part.best(q, c, v, masks, limit, k)
-                        for o, x in zip(out, ([q] * len(ids), ids.tolist(), scores.tolist()), strict=True):
-                            o += x
-                    yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
-
-        found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+                for at, (p, b) in enumerate(zip(batch.column("place").to_pylist(), batch.column("q_place").to_pylist(), strict=True)):
+                    if b not in held:
+                        block = read(batch, at, "q_")
+                        held[b] = block, Best(len(block.ids), k)
+                    if p != now:
+                        now, part = p, read(batch, at, "")
+                    compare(held[b][0], part, held[b][1], radius, limit)
+            for block, best in held.values():
+                q, rank = np.nonzero(best.scores > -np.inf)
+                columns = (block.ids[q], best.ids[q, rank], best.scores[q, rank])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
+
+        found = met.mapInArrow(tidy(run), "query_id bigint, vec_id bigint, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
         return write_scratch(found)
 
     queries = vectors.filter(is_query)
-    found = nearest(queries, queries.count(), _masks(radius), RERANK_DISTANCE)
+    found = nearest(queries, queries.count(), radius, RERANK_DISTANCE)
     # Most queries are done; the others look further, at last through all vectors.
-    for masks in (_masks(radius), None):
+    for further in (radius, None):
         done = found.filter(F.col("rank") == k).select("query_id")
         short = queries.join(done, F.col("vec_id") == F.col("query_id"), "left_anti")
         n_short = short.count()
         if not n_short:
             break
-        found = found.join(done, "query_id", "left_semi").unionByName(nearest(short, n_short, masks, BITS))
+        found = found.join(done, "query_id", "left_semi").unionByName(nearest(short, n_short, further, BITS))
     return found.select("query_id", "rank", "vec_id", "score")
 
 
