@@ -39,7 +39,7 @@ SAMPLE = 20_000
 #: Vectors of a part or a block: so many, or fewer if their doubles take more bytes.
 PART_ROWS, PART_BYTES = 8_192, 8 << 20
 #: A task meets about so many vectors of the index, and blocks of so many bytes, as it holds them.
-TASK_ROWS, TASK_BYTES = 1 << 20, 48 << 20
+TASK_ROWS, TASK_BYTES = 1 << 20, 24 << 20
 #: Queries and vectors compared at once, and the bytes of pairs whose cosines are worked out at once.
 TILE, PAIR_BYTES = (512, 4_096), 16 << 20
 #: Parts are large rows: a row group ends by bytes, not after a hundred rows.
@@ -269,7 +269,11 @@ def search(
         # where they are stored; with more cores than that gives tasks, tasks have fewer parts.
         few = -(-n_queries * 12 * dims // TASK_BYTES) or 1
         many = max(-(-n // TASK_ROWS), -(-4 * spark.sparkContext.defaultParallelism // few))
-        met = index.coalesce(many).hint("shuffle_replicate_nl").crossJoin(asked.coalesce(few))
+        at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        parts, blocks = index.coalesce(many).withColumn("at", at), asked.coalesce(few).withColumn("q_at", at)
+        # Each part comes with the task's first block, and each block with its first part: once.
+        once = [F.when(F.col("q_at") == 0, F.col(c)).alias(c) for c in PACKED.names[1:]] + [F.when(F.col("at") == 0, F.col(f"q_{c}")).alias(f"q_{c}") for c in PACKED.names[1:]]
+        met = parts.hint("shuffle_replicate_nl").crossJoin(blocks).select("place", "q_place", *once)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def read(batch: pa.RecordBatch, at: int, of: str) -> Packed:
